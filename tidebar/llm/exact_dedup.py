@@ -46,6 +46,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, with all their columns: of equal texts one row, that of the smallest id.
+
+    Ids that are null come last, and rows that tie in id and text leave one. The text travels once, as the
+    grouping key; a text that normalising changes goes along as it was.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.when(~F.col(text_col).eqNullSafe(normalised(text_col)), F.struct(text_col)).alias("__was"))
+    rows = docs.select(normalised(text_col).alias("norm"), whole.alias("row"), F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(whole)).alias("order"))
+    kept = rows.groupBy(F.md5(F.col("norm").cast("binary")).alias("h"), "norm").agg(F.min_by("row", "order").alias("row"))
+    text = F.when(F.col("row.__was").isNull(), F.col("norm")).otherwise(F.col("row.__was")[text_col])
+    return kept.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
