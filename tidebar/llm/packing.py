@@ -35,9 +35,13 @@ _BREAKS = re.compile("[\x1c-\x1f]")  # Python's split() takes these for white sp
 
 
 class WordTokenizer:
-    """Ids of a text, by a tokenizer whose tokens never span white space: each word is encoded once and kept."""
+    """Ids of a text, by a tokenizer whose tokens never span white space: each word is encoded once and kept.
 
-    def __init__(self, file: str, most: int = 300_000):
+    Words are kept as the bytes of their ids, so that a text's ids are one join. Beyond most words the
+    store starts anew.
+    """
+
+    def __init__(self, file: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
@@ -45,35 +49,41 @@ class WordTokenizer:
         self.most, self.known = most, {}
         ends = re.compile(r"[.!?。！？…]+(</w>)?")
         vocabulary = self.tokenizer.get_vocab()
-        self.stop = np.zeros(max(vocabulary.values()) + 2, bool)
+        self.stop = np.zeros(max(vocabulary.values()) + 2, np.int8)
         for token, i in vocabulary.items():
             if ends.fullmatch(token):
-                self.stop[i] = True
+                self.stop[i] = 1
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if _BREAKS.search(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        words, known = text.split(), self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        words = text.split()
+        new = set(words).difference(self.known)
         if new:
-            if len(known) > self.most:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            self._learn(new)
-        out: list[int] = []
-        for w in words:
-            out += known[w]
-        return out
+            if len(self.known) > self.most:
+                self.known.clear()
+                new = set(words)
+            self._learn(list(new))
+        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
 
     def _learn(self, words: list[str]) -> None:
         """Encode many words in one call; each token goes to the word in which it begins."""
         e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         starts = np.cumsum([0, *[len(w) + 1 for w in words]])
-        begin = np.array([a for a, _ in e.offsets], np.int64)
-        cuts = np.searchsorted(begin, starts)
-        ids = e.ids
-        for k, w in enumerate(words):
-            self.known[w] = ids[cuts[k] : cuts[k + 1]]
+        begin = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
+        cuts = (4 * np.searchsorted(begin, starts)).tolist()
+        ids = np.array(e.ids, np.uint32).tobytes()
+        self.known.update(zip(words, map(ids.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(file: str) -> WordTokenizer:
+    """This process's tokenizer; Python workers keep it, with the words it knows, from task to task."""
+    if file not in _tokenizers:
+        _tokenizers[file] = WordTokenizer(file)
+    return _tokenizers[file]
 
 
 def best_cuts(ends: np.ndarray, cost: np.ndarray, limit: int, final: bool, hard: float) -> list[int]:
@@ -185,7 +195,7 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "t
         out = out.add(name, "long", False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = word_tokenizer(tokenizer)
         packer = Packer(limit, grid, sentence, hard, section)
         first = TaskContext.get().partitionId() << 32
         got: list[tuple] = []
@@ -199,8 +209,8 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "t
         for batch in batches:
             light = batch.select(names)
             for i, text in enumerate(batch.column(len(names))):
-                ids = np.array([*words.encode(text.as_py()), END], np.uint32)
-                stop = words.stop[np.minimum(ids, len(words.stop) - 1)].astype(np.int8)
+                ids = np.append(words.encode(text.as_py()), np.uint32(END))
+                stop = words.stop[ids]
                 stop[-1] = 2
                 got.extend(packer.add((light, i, len(ids)), ids, stop))
                 if len(got) >= 5000:
