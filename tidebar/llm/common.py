@@ -5,8 +5,10 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,26 @@ def share(key: Column, part: float | Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("share")), F.lit(1 << 30)) < (F.lit(part) if isinstance(part, float) else part) * F.lit(float(1 << 30))
 
 
+# Batches of sorted rows --------------------------------------------------------------------------
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by key, cut between groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch[key].to_numpy()
+        last = int(np.searchsorted(keys, keys[-1]))
+        if last or (held and held[-1][key][-1].as_py() != keys[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks().to_batches()[0] if held or last else batch
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 # Hashes of words, in NumPy ------------------------------------------------------------------------
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -9,8 +9,8 @@ three ranks. The permutation of an element is affine modulo a prime, drawn by it
 
 Equal sets are one node from the start, so a group of copies costs one row. Nodes that share a band of
 the signature are candidates. They are never paired all with all: in each band bucket, nodes are
-compared with its smallest node, and only buckets that still hold nodes of different components are
-looked at again, with further nodes as pivots. Links are verified on the full sets.
+compared with a pivot, the one that meets most others, and only buckets that still hold nodes of
+different components are looked at again, with further nodes as pivots, one, three, twelve, ... at a time. Links are verified on the full sets.
 """
 
 from __future__ import annotations
@@ -130,37 +130,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     nodes = signed.where("n > 0").groupBy("k1", "k2").agg(F.min("row_id").alias("first_id"), F.min(F.struct("row_id", "row_hash")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = cut(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     listed = nodes.select("nid", "n", F.explode("bands").alias("bucket"))
-    heads = listed.groupBy("bucket").agg(F.min("nid").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "head")
-    members = cut(listed.join(heads, "bucket"), "buckets")
-    shared = members.select("nid").distinct()
-    wanted = nodes.join(shared, "nid", "left_semi").select("nid", F.col("at.row_id").alias("want_id"), F.col("at.row_hash").alias("want_hash"))
+    sizes = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut(listed.join(sizes, "bucket"), "buckets")
+    # a node that meets many others is likely to be the one that they are copies of: the best pivot
+    degree = members.groupBy("nid").agg(F.sum("size").alias("degree"))
+    wanted = nodes.join(degree, "nid").select("nid", F.col("at.row_id").alias("want_id"), F.col("at.row_hash").alias("want_hash"))
     again = rows.join(wanted, rows["row_hash"].eqNullSafe(F.col("want_hash")) & rows["row_id"].eqNullSafe(F.col("want_id")))
     sets = cut(again.dropDuplicates(["nid"]).select("nid", "raw").mapInArrow(_sets(words), "nid long, items array<long>"), "sets")
-
-    # first, every node against one pivot: the smallest of its buckets' heads
-    pairs = members.where("nid <> head").groupBy("nid").agg(F.min("head").alias("b")).select(F.col("nid").alias("a"), "b")
-    links = cut(_verified(pairs, sets, percent), "links")
+    ordered = cut(members.drop("size").join(degree, "nid"), "buckets")
+    drop(members)
+    members = ordered
+
+    # first, every node against one pivot: the best of its buckets' heads
+    heads = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("nid")).alias("minus"))).alias("head"))
+    best = members.join(heads, "bucket").groupBy("nid").agg((-F.max("head")["minus"]).alias("b"))
+    tried = cut(best.where("nid <> b").select(F.col("nid").alias("a"), "b"), "pairs")
+    links = cut(_verified(tried, sets, percent), "links")
     labels = cut(components(links), "labels")
-    # then buckets with nodes of different components, until all of their nodes have been pivots or the buckets agree
-    low = 0
-    for high in (1, 16, 256, None):
-        marked = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("bucket", "nid", "n", F.coalesce("label", "nid").alias("label"))
-        split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        ranked = marked.join(split, "bucket").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("nid")))
-        ranked = cut(ranked, "ranked")
-        pivot = ranked.where(F.col("rank") > low) if high is None else ranked.where((F.col("rank") > low) & (F.col("rank") <= high))
+    # then buckets with nodes of different components, until they agree or all of their nodes have been pivots
+    low, high = 0, 1
+    while True:
+        marked = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+        split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where(f"x <> y and size > {low + 1}").select("bucket")
+        order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "nid")
+        ranked = cut(marked.join(split, "bucket").withColumn("rank", F.row_number().over(order)), "ranked")
+        if ranked.isEmpty():
+            break
+        pivot = ranked.where((F.col("rank") > low) & (F.col("rank") <= high))
         pivot = pivot.select("bucket", F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
         near = (F.col("rank") > F.col("rank_b")) & (F.col("label") != F.col("label_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
-        fresh = cut(ranked.join(pivot, "bucket").where(near).select(F.col("nid").alias("a"), "b").distinct(), "pairs")
-        more = cut(_verified(fresh, sets, percent), "links")
-        done = high is None or ranked.where(F.col("rank") > high).isEmpty()
+        pairs = ranked.join(pivot, "bucket").where(near).select(F.col("nid").alias("a"), "b").distinct()
+        pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = cut(_verified(pairs, sets, percent), "links")
+        tried = tried.unionByName(pairs)
         if not more.isEmpty():
             links = cut(links.unionByName(more), "links")
             labels = cut(components(links), "labels")
-        drop(ranked, fresh)
-        low = high
-        if done:
-            break
+        drop(ranked)
+        low, high = high, 4 * high
     drop(sets, members)
     held = nodes.select("k1", "k2", "nid", "first_id").join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     smallest = held.groupBy("label").agg(F.min("first_id").alias("component_id"))

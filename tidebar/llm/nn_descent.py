@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, drop
+from .common import cut, drop, whole_groups
 
 _GRAPH = "u long, vec binary, scale float, ids array<long>, scores array<float>, fresh array<boolean>"
 
@@ -39,23 +39,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float32)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """Batches of rows sorted by key, cut between groups."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch[key].to_numpy()
-        last = int(np.searchsorted(keys, keys[-1]))
-        if last or (held and held[-1][key][-1].as_py() != keys[0]):
-            yield pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks().to_batches()[0] if held or last else batch
-            held = [batch.slice(last)]
-        else:
-            held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _lists(last: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(last, pa.int32()), pa.array(values, kind))
 
@@ -117,7 +100,7 @@ def _local_join(offers: int, k: int, hold: int = 1_000_000) -> Callable:
             last = np.append(at, len(u))
             return pa.RecordBatch.from_arrays([pa.array(u[at]), _lists(last, x, pa.int64()), _lists(last, s, pa.float32())], names=["u", "ids", "scores"])
 
-        for batch in _whole_groups(batches, "v"):
+        for batch in whole_groups(batches, "v"):
             v, u, fresh, worst = (batch[c].to_numpy(zero_copy_only=False) for c in ("v", "u", "fresh", "worst"))
             first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
             size = np.diff(first, append=len(v))
@@ -150,7 +133,7 @@ def _merge(k: int) -> Callable:
     """Rows sorted by u, a node's own (with vec) and offers to it, to the node's new row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole_groups(batches, "u"):
+        for batch in whole_groups(batches, "u"):
             own = batch["vec"].is_valid().to_numpy(zero_copy_only=False)
             order = np.argsort(~own, kind="stable")  # what a node has comes first, and so stays as it was
             rows = batch.take(pa.array(order))
@@ -205,7 +188,7 @@ def _advance(beam: int, expand: int) -> Callable:
     """Rows sorted by q, a query's own and the vectors found for it, to the query's next row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole_groups(batches, "q"):
+        for batch in whole_groups(batches, "q"):
             q = batch["q"].to_numpy()
             x, vec = batch["x"].to_numpy(zero_copy_only=False), batch["vec"]
             scale = batch["scale"].to_numpy()

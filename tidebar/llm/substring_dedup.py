@@ -9,13 +9,14 @@ in one place:
     equal windows share and that neighbouring windows mostly share too, so runs of windows become one
     row. Seeds that occur in one document only can't lie in a repeat between documents; the others leave
     the candidate suffixes, a small part of all.
-2.  Subtrees. Each candidate suffix becomes a row keyed by its path: a hash of its first words and one of
-    the rest down to the window's depth, 128 bits together. The paths deal the suffixes out to tasks; as a
-    path is as long as it needs to be to tell nodes apart, no group is larger than a node, and for a node
-    only its smallest document is kept, aggregated before the shuffle. A passage in a third of all
-    documents is then one row for each task.
-3.  Repeats. Suffixes join their node; those of a larger document than the node's smallest are removable.
-    They return to their document as positions, and the text is cut.
+2.  Subtrees. The seed is the prefix that deals candidate suffixes out: a run of suffixes becomes a row
+    with the hashes of their windows. Prefixes have variable length: a seed of more than ``group_rows``
+    runs is extended to the whole window, so that its suffixes spread over all tasks. Groups of the other
+    seeds fit in memory, and their subtrees are sorted there; for the long prefixes each node's smallest
+    document is aggregated before the shuffle. A passage in a third of all documents is then one row for
+    each node and task.
+3.  Repeats. Suffixes of a larger document than their node's smallest are removable. They return to their
+    document as ranges, and the text is cut.
 
 Every stage writes its table to the shared folder, so that a lost executor repeats one stage's tasks.
 """
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, drop, mix, text_of, word_hashes
+from .common import cut, drop, mix, text_of, whole_groups, word_hashes
 
 
 def _sequence_hash(w: np.ndarray, n: int, factor: int) -> np.ndarray:
@@ -53,16 +54,16 @@ def seeds(w: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray
     return low[first], first, np.diff(first, append=len(low))
 
 
-def covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
-    """Which of n words windows at these starts cover."""
+def covered(first: np.ndarray, many: np.ndarray, n: int, window: int) -> np.ndarray:
+    """Which of n words are covered by windows that start at first, first + 1, ..., first + many - 1."""
     step = np.zeros(n + 1, np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, starts + window, -1)
+    np.add.at(step, first, 1)
+    np.add.at(step, first + many - 1 + window, -1)
     return np.cumsum(step[:-1]) > 0
 
 
-def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, hash, starts): for each document its windows that also start in a document with a smaller id.
+def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, group_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, hash, ranges): for each document the windows that also start in a document with a smaller id, as (first, n).
 
     hash is that of the text, so that rows that share an id but not a text stay apart.
     """
@@ -79,9 +80,9 @@ def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, id_col: s
             yield pa.RecordBatch.from_arrays([pa.array(many[0].astype(np.uint64).view(np.int64)), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(many[1].astype(np.int32)), pa.array(many[2].astype(np.int32))], names=["seed", "id", "hash", "first", "n"])
 
     runs = cut(texts.mapInArrow(sample, f"seed long, id {kind}, hash long, first int, n int"), "seeds")
-    shared = runs.groupBy("seed").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("seed")
-    shared = cut(shared, "shared")
-    places = runs.join(shared, "seed", "left_semi").groupBy("id", "hash").agg(F.collect_list(F.struct("first", "n")).alias("places"))
+    shared = runs.groupBy("seed").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("rows")).where("x < y")
+    shared = cut(shared.select("seed", (F.col("rows") > group_rows).alias("long")), "shared")
+    places = runs.join(shared, "seed").groupBy("id", "hash").agg(F.collect_list(F.struct("first", "n", "seed", "long")).alias("places"))
     places = cut(places, "places")
     drop(runs, shared)
 
@@ -91,29 +92,50 @@ def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, id_col: s
                 yield paths(batch.slice(lo, 256))
 
     def paths(batch: pa.RecordBatch) -> pa.RecordBatch:
-        of, at, one, two = [], [], [], []
-        flat = batch.column(3)
-        first, count = flat.flatten().field("first").to_numpy(), flat.flatten().field("n").to_numpy()
-        last = np.cumsum([0, *flat.value_lengths().to_pylist()])
+        place = batch.column(3).flatten()
+        first, count = place.field("first").to_numpy(), place.field("n").to_numpy()
+        sizes = batch.column(3).value_lengths().to_numpy()
+        last = np.cumsum([0, *sizes])
+        nodes = []
         for i, raw in enumerate(batch.column(2)):
             w = word_hashes(np.frombuffer(raw.as_py(), np.uint8))
             f, n = first[last[i] : last[i + 1]], count[last[i] : last[i + 1]]
-            mark = np.zeros(len(w) + 1, np.int64)
-            np.add.at(mark, f, 1)
-            np.add.at(mark, f + n, -1)
-            start = np.flatnonzero(np.cumsum(mark) > 0)
-            head = _sequence_hash(w, seed, 0xC2B2AE3D27D4EB4F)[start]
-            tail = _sequence_hash(np.concatenate([w[seed:], np.zeros(seed, np.uint64)]), window - seed, 0x9E3779B185EBCA87)[start] if window > seed else head
-            of.append(np.full(len(start), i)), at.append(start), one.append(head), two.append(tail)
-        of_ = pa.array(np.concatenate(of).astype(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(one).view(np.int64)), pa.array(np.concatenate(two).view(np.int64)), batch.column(0).take(of_), batch.column(1).take(of_), pa.array(np.concatenate(at).astype(np.int32))], names=["head", "tail", "id", "hash", "start"])
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(f, n)
+            nodes.append(_sequence_hash(w, window, 0xC2B2AE3D27D4EB4F)[at])
+        of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+        ends = pa.array(np.cumsum([0, *count]), pa.int32())
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.uint64), *nodes]).view(np.int64)))
+        return pa.RecordBatch.from_arrays([place.field("seed"), place.field("long"), batch.column(0).take(of), batch.column(1).take(of), place.field("first"), lists], names=["seed", "long", "id", "hash", "first", "nodes"])
+
+    def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by seed and id to ranges of removable suffixes."""
+        for batch in whole_groups(batches, "seed"):
+            n = batch["nodes"].value_lengths().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), n)
+            node, seed_ = batch["nodes"].flatten().to_numpy(), batch["seed"].to_numpy()[row]
+            at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(batch["first"].to_numpy(), n)
+            order = np.lexsort((row, node, seed_))  # a node's leaves side by side, the smallest id first
+            new = np.concatenate([[True], (node[order][1:] != node[order][:-1]) | (seed_[order][1:] != seed_[order][:-1])])
+            code = batch["id"].dictionary_encode().indices.to_numpy()
+            least = np.empty(len(row), np.int64)
+            least[order] = code[row[order]][np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))]
+            gone = np.flatnonzero(least != code[row])
+            head = np.concatenate([[True], (row[gone][1:] != row[gone][:-1]) | (at[gone][1:] != at[gone][:-1] + 1)]) if len(gone) else np.zeros(0, bool)
+            begin = np.flatnonzero(head)
+            of = pa.array(row[gone][begin])
+            yield pa.RecordBatch.from_arrays([batch["id"].take(of), batch["hash"].take(of), pa.array(at[gone][begin], pa.int32()), pa.array(np.diff(begin, append=len(gone)), pa.int32())], names=["id", "hash", "first", "n"])
 
     held = texts.join(places, ["id", "hash"]).select("id", "hash", "raw", "places")
-    leaves = cut(held.mapInArrow(suffixes, f"head long, tail long, id {kind}, hash long, start int"), "suffixes")
-    inner = leaves.groupBy("head", "tail").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("head", "tail", "least")
-    later = leaves.join(inner, ["head", "tail"]).where("id > least")
-    out = cut(later.groupBy("id", "hash").agg(F.collect_set("start").alias("starts")), "repeats")
-    drop(leaves, places)
+    leaves = held.mapInArrow(suffixes, f"seed long, long boolean, id {kind}, hash long, first int, nodes array<long>")
+    leaves = cut(leaves, "suffixes")
+    drop(places)
+    short = leaves.where("not long").repartition("seed").sortWithinPartitions("seed", "id")
+    ranges = short.select("seed", "id", "hash", "first", "nodes").mapInArrow(subtrees, f"id {kind}, hash long, first int, n int")
+    deep = leaves.where("long").select("seed", "id", "hash", "first", F.posexplode("nodes").alias("p", "node"))
+    inner = deep.groupBy("seed", "node").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("seed", "node", "least")
+    later = deep.join(inner, ["seed", "node"]).where("id > least").select("id", "hash", (F.col("first") + F.col("p")).alias("first"), F.lit(1).alias("n"))
+    out = cut(ranges.unionByName(later).groupBy("id", "hash").agg(F.collect_list(F.struct("first", "n")).alias("ranges")), "repeats")
+    drop(leaves)
     return out
 
 
@@ -128,19 +150,19 @@ def remove_repeats(docs: DataFrame, window: int = 13, seed: int = 5, id_col: str
     * Repeated rows, and rows that share an id, don't count as each other's repeats.
     * Texts of fewer words than a window keep them all. An empty table gives an empty result.
     """
-    repeats = repeated_windows(docs, window, seed, id_col, text_col)
+    repeats = repeated_windows(docs, window, seed, id_col=id_col, text_col=text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), text_of(text_col).alias("raw"))
-    rows = rows.join(repeats, ["id", "hash"], "left").select("id", "raw", "starts")
+    rows = rows.join(repeats, ["id", "hash"], "left").select("id", "raw", "ranges")
 
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, gone, sha, texts = [], [], [], []
-            for raw, starts in zip(batch.column(1), batch.column(2), strict=True):
+            for raw, ranges in zip(batch.column(1), batch.column(2), strict=True):
                 words = raw.as_py().split()  # of bytes: at the white space of ASCII only
                 n.append(len(words)), gone.append(0)
-                if starts.is_valid:
-                    cover = covered(starts.values.to_numpy(), len(words), window)
+                if ranges.is_valid:
+                    cover = covered(ranges.values.field("first").to_numpy(), ranges.values.field("n").to_numpy(), len(words), window)
                     gone[-1] = int(cover.sum())
                     words = [words[i] for i in np.flatnonzero(~cover)]
                 kept = b" ".join(words)
