@@ -220,7 +220,7 @@ SQL: dict[str, str] = {
     "band_signal": FLAGSHIP_SQL,
     "mtf_coin": _mtf_sql(),
     "lookahead_check": f"SELECT count(*) AS total, count(*) FILTER (time_close_60 > time_close_1) AS violations_60, count(*) FILTER (time_close_240 > time_close_1) AS violations_240, count(*) FILTER (time_close_d > time_close_1) AS violations_d FROM ({_mtf_sql()})",
-    "first_gap": f"SELECT asset_id, min(time) AS first_gap FROM {_BARS} WHERE (asset_id + hour(time)) % 5 = 0 AND time >= (SELECT min(time) FROM {_BARS} z WHERE z.asset_id = asset_id) + INTERVAL 2 DAY GROUP BY 1",
+    "first_gap": f"SELECT asset_id, min(time) AS first_gap FROM (SELECT *, min(time) OVER (PARTITION BY asset_id) AS since FROM {_BARS}) WHERE (asset_id + hour(time)) % 5 = 0 AND time >= since + INTERVAL 2 DAY GROUP BY 1",
     "gap_summary": f"SELECT asset_id, count(*) AS missing, 'indicators' AS table_name FROM {_BARS} WHERE (asset_id + hour(time)) % 5 = 0 GROUP BY 1",
     "upsert_indicators": f"SELECT asset_id, time, close, CASE WHEN hour(time) < 12 THEN 0.0 ELSE round(volume, 6) END AS volume FROM {_BARS} WHERE hour(time) < 12 OR (asset_id + hour(time)) % 5 <> 0",
     "atr_enrichment": f"{_ATR_SQL} SELECT asset_id, time_1, round(atr_at_signal, 6) AS atr_at_signal FROM enriched",
