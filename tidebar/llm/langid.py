@@ -58,6 +58,8 @@ class Model:
 
     def predict(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text, the main language's index (-1: no words), its proportion, the number of languages."""
+        if not self.langs:
+            return np.full(len(raws), -1), np.zeros(len(raws)), np.zeros(len(raws), int)
         ll, sizes = self.words(raws)
         best, score, kinds = np.full(len(raws), -1), np.zeros(len(raws)), np.zeros(len(raws), int)
         some = np.flatnonzero(sizes)
