@@ -10,7 +10,9 @@ three ranks. The permutation of an element is affine modulo a prime, drawn by it
 Equal sets are one node from the start, so a group of copies costs one row. Nodes that share a band of
 the signature are candidates. They are never paired all with all: in each band bucket, nodes are
 compared with a pivot, the one that meets most others, and only buckets that still hold nodes of
-different components are looked at again, with further nodes as pivots, one, three, twelve, ... at a time. Links are verified on the full sets.
+different components are looked at again, with further nodes as pivots, one, three, twelve, ... at a time.
+There, pairs that share elements which few nodes have are found by these; for the others the number of
+the rest bounds what they have in common, which rules out most pairs just below the threshold, exactly. Links are verified on the full sets.
 """
 
 from __future__ import annotations
@@ -113,7 +115,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _rare(sets: DataFrame, among: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
+    """Of the nodes in among, with elements being rare that at most few of them have: (nid, size, m), the
+    elements of a set and those of them that aren't rare, and the pairs (a, b, common) with rare ones in common."""
+    held = sets.join(among, "nid", "left_semi")
+    items = cut(held.select("nid", F.explode("items").alias("item")), "items")
+    rare = cut(items.join(items.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(f"c <= {few}"), "item"), "rare")
+    drop(items)
+    own = rare.groupBy("nid").agg(F.count(F.lit(1)).alias("own"))
+    sizes = cut(held.select("nid", F.size("items").alias("size")).join(own, "nid", "left").select("nid", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("m")), "sizes")
+    two = rare.where("c > 1").select("item", "nid")
+    pairs = two.withColumnRenamed("nid", "a").join(two.withColumnRenamed("nid", "b"), "item").where("a > b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    return sizes, pairs
+
+
+def _open(members: DataFrame, labels: DataFrame, size: int) -> DataFrame:
+    """Members, with labels, of buckets of more than size nodes that hold nodes of different components."""
+    marked = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+    split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where(f"x <> y and size > {size}").select("bucket")
+    return marked.join(split, "bucket")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", few: int = 32) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
     Sets are linked where 100 * common >= percent * union; component_id is the smallest id that links reach.
@@ -147,18 +170,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     tried = cut(best.where("nid <> b").select(F.col("nid").alias("a"), "b"), "pairs")
     links = cut(_verified(tried, sets, percent), "links")
     labels = cut(components(links), "labels")
+    # in what is left, pairs with rare elements in common are found by these; others can have no more in common than the rest
+    still = _open(members, labels, 1).select("nid", "label").distinct()
+    still = cut(still, "open")
+    bounds, pairs = _rare(sets, still.select("nid"), few)
+    known = bounds.join(still, "nid")
+    for side in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("nid").alias(side), F.col("size").alias(f"n_{side}"), F.col("m").alias(f"m_{side}"), F.col("label").alias(f"label_{side}")), side)
+    most = F.col("common") + F.least("m_a", "m_b")
+    pairs = pairs.where((F.col("label_a") != F.col("label_b")) & (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))).select("a", "b")
+    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = cut(links.unionByName(_verified(pairs, sets, percent)), "links")
+    labels = cut(components(links), "labels")
+    members = members.join(bounds.select("nid", "m"), "nid").where(100 * F.col("m") >= percent * F.col("n"))
     # then buckets with nodes of different components, until they agree or all of their nodes have been pivots
     low, high = 0, 1
     while True:
-        marked = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
-        split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where(f"x <> y and size > {low + 1}").select("bucket")
         order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "nid")
-        ranked = cut(marked.join(split, "bucket").withColumn("rank", F.row_number().over(order)), "ranked")
+        ranked = cut(_open(members, labels, low + 1).withColumn("rank", F.row_number().over(order)), "ranked")
         if ranked.isEmpty():
             break
         pivot = ranked.where((F.col("rank") > low) & (F.col("rank") <= high))
-        pivot = pivot.select("bucket", F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
-        near = (F.col("rank") > F.col("rank_b")) & (F.col("label") != F.col("label_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
+        pivot = pivot.select("bucket", F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
+        most = F.least("m", "m_b")  # common elements
+        near = (F.col("rank") > F.col("rank_b")) & (F.col("label") != F.col("label_b")) & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
         pairs = ranked.join(pivot, "bucket").where(near).select(F.col("nid").alias("a"), "b").distinct()
         pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = cut(_verified(pairs, sets, percent), "links")
@@ -168,7 +203,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             labels = cut(components(links), "labels")
         drop(ranked)
         low, high = high, 4 * high
-    drop(sets, members)
+    drop(sets, ordered)
     held = nodes.select("k1", "k2", "nid", "first_id").join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     smallest = held.groupBy("label").agg(F.min("first_id").alias("component_id"))
     held = held.join(smallest, "label").select("k1", "k2", "component_id")
