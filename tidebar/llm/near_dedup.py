@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     links = cut(links.unionByName(_verified(pairs, sets, percent)), "links")
     labels = cut(components(links), "labels")
-    members = members.join(bounds.select("nid", "m"), "nid").where(100 * F.col("m") >= percent * F.col("n"))
+    members = cut(members.join(bounds.select("nid", "m"), "nid").where(100 * F.col("m") >= percent * F.col("n")), "buckets")
     # then buckets with nodes of different components, until they agree or all of their nodes have been pivots
     low, high = 0, 1
     while True:
