@@ -11,8 +11,9 @@ Equal sets are one node from the start, so a group of copies costs one row. Node
 the signature are candidates. They are never paired all with all: in each band bucket, nodes are
 compared with a pivot, the one that meets most others, and only buckets that still hold nodes of
 different components are looked at again, with further nodes as pivots, one, three, twelve, ... at a time.
-There, pairs that share elements which few nodes have are found by these; for the others the number of
-the rest bounds what they have in common, which rules out most pairs just below the threshold, exactly. Links are verified on the full sets.
+There, pairs that share elements which few nodes have are found by these; for the others the number
+of the rest and its parity bits (the bitmap filter of exact set joins) bound what they have in common, which
+rules out most pairs just below the threshold, exactly. Links are verified on the full sets.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .components import components
 
 #: Components (a prime number of them), rows of a band and bands. At a similarity of 0.8 a pair shares no band with probability (1 - 0.8 ** 5) ** 29 = 1e-5.
 COMPONENTS, ROWS, BANDS = 149, 5, 29
+#: Words of 64 parity bits that sketch a set.
+PARITY = 8
 
 
 def shingles(raw: bytes, words: int) -> np.ndarray:
@@ -115,15 +118,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
+def _parity() -> list[Column]:
+    """Aggregates p0, p1, ...: for each of 64 * PARITY residues of items, whether an odd number of them has it."""
+    bit = F.col("item").bitwiseAND(F.lit(64 * PARITY - 1)).cast("int")
+    one = F.expr("shiftleft(1L, cast(item & 63 as int))")
+    return [F.bit_xor(F.when(F.shiftright(bit, 6) == i, one).otherwise(F.lit(0).cast("long"))).alias(f"p{i}") for i in range(PARITY)]
+
+
+def _most(a: str, b: str) -> Column:
+    """An upper bound of what two sets have in common but rare elements, of which they share none: an element
+    that only one of them has flips one parity bit, so they differ in at least as many elements as bits."""
+    bits = [F.bit_count(F.col(f"p{i}{a}").bitwiseXOR(F.col(f"p{i}{b}"))) for i in range(PARITY)]
+    apart = sum(bits[1:], bits[0])
+    return F.least(f"m{a}", f"m{b}", F.floor((F.col(f"m{a}") + F.col(f"m{b}") - apart) / 2))
+
+
 def _rare(sets: DataFrame, among: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
-    """Of the nodes in among, with elements being rare that at most few of them have: (nid, size, m), the
-    elements of a set and those of them that aren't rare, and the pairs (a, b, common) with rare ones in common."""
+    """Of the nodes in among, with elements being rare that at most few of them have: (nid, size, m, p0, ...), the
+    elements of a set, those of them that aren't rare and the parities of these, and the pairs (a, b, common) with
+    rare ones in common."""
     held = sets.join(among, "nid", "left_semi")
     items = cut(held.select("nid", F.explode("items").alias("item")), "items")
     rare = cut(items.join(items.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(f"c <= {few}"), "item"), "rare")
+    own = rare.groupBy("nid").agg(F.count(F.lit(1)).alias("own"), *_parity())
+    own = own.select("nid", "own", *(F.col(f"p{i}").alias(f"q{i}") for i in range(PARITY)))
+    none = F.lit(0).cast("long")
+    rest = [F.col(f"p{i}").bitwiseXOR(F.coalesce(f"q{i}", none)).alias(f"p{i}") for i in range(PARITY)]
+    every = items.groupBy("nid").agg(F.count(F.lit(1)).alias("size"), *_parity())
+    sizes = cut(every.join(own, "nid", "left").select("nid", "size", (F.col("size") - F.coalesce("own", none)).alias("m"), *rest), "sizes")
     drop(items)
-    own = rare.groupBy("nid").agg(F.count(F.lit(1)).alias("own"))
-    sizes = cut(held.select("nid", F.size("items").alias("size")).join(own, "nid", "left").select("nid", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("m")), "sizes")
     two = rare.where("c > 1").select("item", "nid")
     pairs = two.withColumnRenamed("nid", "a").join(two.withColumnRenamed("nid", "b"), "item").where("a > b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     return sizes, pairs
@@ -182,7 +205,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     links = cut(links.unionByName(_verified(pairs, sets, percent)), "links")
     labels = cut(components(links), "labels")
-    members = cut(members.join(bounds.select("nid", "m"), "nid").where(100 * F.col("m") >= percent * F.col("n")), "buckets")
+    members = cut(members.join(bounds.drop("size"), "nid").where(100 * F.col("m") >= percent * F.col("n")), "buckets")
     # then buckets with nodes of different components, until they agree or all of their nodes have been pivots
     low, high = 0, 1
     while True:
@@ -191,8 +214,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         if ranked.isEmpty():
             break
         pivot = ranked.where((F.col("rank") > low) & (F.col("rank") <= high))
-        pivot = pivot.select("bucket", F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
-        most = F.least("m", "m_b")  # common elements
+        pivot = pivot.select("bucket", F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"), *(F.col(f"p{i}").alias(f"p{i}_b") for i in range(PARITY)))
+        most = _most("", "_b")
         near = (F.col("rank") > F.col("rank_b")) & (F.col("label") != F.col("label_b")) & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
         pairs = ranked.join(pivot, "bucket").where(near).select(F.col("nid").alias("a"), "b").distinct()
         pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
