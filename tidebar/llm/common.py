@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but these bytes: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes that cut() writes before it asks for unused shuffle files to go.
+RELEASE_BYTES = 1 << 24
+_written = 0
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,25 +38,33 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again.
 
-    The result has no lineage, so a lost executor costs nothing but a read. Shuffle files that no
-    plan needs any more are released at once.
+    The result has no lineage, so a lost executor costs nothing but a read. After tables of some size
+    shuffle files that no plan needs any more are released.
     """
+    global _written
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidebar_path = path
-    release(spark)
+    _written += _file_system(spark, path)[1].getContentSummary(_file_system(spark, path)[0]).getLength()
+    if _written > RELEASE_BYTES:
+        _written = 0
+        release(spark)
     return out
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables made by cut() that nothing reads any more."""
     for t in tables:
         if path := getattr(t, "_tidebar_path", None):
-            jvm = t.sparkSession._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            where, files = _file_system(t.sparkSession, path)
+            files.delete(where, True)
 
 
 def release(spark: SparkSession) -> None:
@@ -62,9 +73,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def column(name: str) -> Column:
+    """The column of that very name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of df in one struct: what an operator adds next to it can't clash with their names."""
+    return F.struct(*[column(c).alias(c) for c in df.columns])
+
+
+def unfold(df: DataFrame, held: str, result: list[str]) -> DataFrame:
+    """The fields of the struct column ``held`` and the columns ``result``, which replace fields of the same name."""
+    fields = [f.name for f in df.schema[held].dataType.fields]
+    return df.select(*[F.col(held).getField(n).alias(n) for n in fields if n not in result], *result)
+
+
 def text_of(name: str = "text") -> Column:
     """The text as bytes (UTF-8); null counts as empty."""
-    return F.coalesce(F.col(name), F.lit("")).cast("binary")
+    return F.coalesce(column(name), F.lit("")).cast("binary")
 
 
 def remainder(doc_id: str, n: int) -> Column:
