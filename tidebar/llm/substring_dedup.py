@@ -5,20 +5,20 @@ suffix tree of all documents are the distinct windows, those with suffixes of se
 deep internal nodes, and runs of them along a document are the maximal repeats. The tree is never built
 in one place:
 
-1.  Candidates. Windows are sampled by their smallest ``seed``-word hash, a content-defined prefix that
-    equal windows share and that neighbouring windows mostly share too, so runs of windows become one
-    row. Seeds that occur in one document only can't lie in a repeat between documents; the others leave
-    the candidate suffixes, a small part of all.
-2.  Subtrees. The seed is the prefix that deals candidate suffixes out: a run of suffixes becomes a row
-    with the hashes of their windows. Prefixes have variable length: a seed of more than ``group_rows``
-    runs is extended to the whole window, so that its suffixes spread over all tasks. Groups of the other
-    seeds fit in memory, and their subtrees are sorted there; for the long prefixes each node's smallest
-    document is aggregated before the shuffle. A passage in a third of all documents is then one row for
-    each node and task.
-3.  Repeats. Suffixes of a larger document than their node's smallest are removable. They return to their
-    document as ranges, and the text is cut.
-
-Every stage writes its table to the shared folder, so that a lost executor repeats one stage's tasks.
+1.  Candidates. Windows are sampled by their smallest ``seed``-word hash, which equal windows share and
+    neighbouring windows mostly share too, so runs of windows become one row. Seeds that occur in one
+    document only can't lie in a repeat between documents; the others leave the candidate suffixes.
+2.  Prefixes of variable length deal the candidate suffixes out in groups of at most ``group`` suffixes. The seed,
+    which lies in the first ``window`` words of each suffix, is the shortest one. Where more suffixes share it, they are
+    dealt by their first ``longer`` words, and where more share these, by all ``window`` words.
+3.  Subtrees. A group fits in memory. Its suffixes, as words, grow a tree from the group's prefix down, a few words a level:
+    children are told apart by the words themselves, not by hashes, and only internal nodes with leaves of several
+    documents grow on. Suffixes at depth ``window`` whose node has a smaller document are removable. Where
+    the prefix is all of the window the subtree is a single node, and its smallest document is aggregated
+    before the shuffle: a passage in a third of all documents is one row for each window and task.
+4.  Repeats. Removable suffixes return to their document as ranges, and the text is cut.
+
+The tables between these steps lie in the shared folder, so that a lost executor repeats one step's tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, drop, mix, text_of, whole_groups, word_hashes
+from .common import column, cut, drop, mix, text_of, whole_groups, word_hashes, word_starts
 
 
 def _sequence_hash(w: np.ndarray, n: int, factor: int) -> np.ndarray:
@@ -62,15 +62,43 @@ def covered(first: np.ndarray, many: np.ndarray, n: int, window: int) -> np.ndar
     return np.cumsum(step[:-1]) > 0
 
 
-def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, group_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deep_suffixes(words: np.ndarray, at: np.ndarray, group: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
+    """Which suffixes lie below a node at depth window that has a smaller document.
+
+    words: codes of words (equal codes, equal words); at: where in words each suffix begins; group: the
+    subtree that it belongs to; doc: its document.
+    """
+    out = np.zeros(len(at), bool)
+    live, node = np.arange(len(at)), np.unique(group, return_inverse=True)[1].astype(np.int64)
+    base = int(words.max()) + 1 if len(words) else 1
+    depth = 0
+    while depth < window and len(live):
+        key, nodes = node, int(node.max()) + 1
+        while True:  # as many words as a key of 62 bits takes
+            key, nodes, depth = key * base + words[at[live] + depth], nodes * base, depth + 1
+            if depth == window or nodes * base >= 1 << 62:
+                break
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+        count = np.diff(first, append=len(order))
+        least, most = np.minimum.reduceat(doc[live][order], first), np.maximum.reduceat(doc[live][order], first)
+        inner = np.repeat(least < most, count)  # leaves and nodes of one document end here
+        node, least = np.repeat(np.arange(len(first)), count)[inner], np.repeat(least, count)[inner]
+        live = live[order][inner]
+        if depth == window:
+            out[live] = doc[live] > least
+    return out
+
+
+def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, longer: int = 9, group: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, hash, ranges): for each document the windows that also start in a document with a smaller id, as (first, n).
 
     hash is that of the text, so that rows that share an id but not a text stay apart.
     """
-    if not 0 < seed <= window:
-        raise ValueError("a seed is 1 to window words long")
+    if not 0 < seed <= longer <= window:
+        raise ValueError("a seed is 1 to window words long, a longer prefix between them")
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), text_of(text_col).alias("raw"))
+    texts = docs.where(column(id_col).isNotNull() & column(text_col).isNotNull()).select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("hash"), text_of(text_col).alias("raw"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,66 +108,84 @@ def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, group_row
             yield pa.RecordBatch.from_arrays([pa.array(many[0].astype(np.uint64).view(np.int64)), batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(many[1].astype(np.int32)), pa.array(many[2].astype(np.int32))], names=["seed", "id", "hash", "first", "n"])
 
     runs = cut(texts.mapInArrow(sample, f"seed long, id {kind}, hash long, first int, n int"), "seeds")
-    shared = runs.groupBy("seed").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("rows")).where("x < y")
-    shared = cut(shared.select("seed", (F.col("rows") > group_rows).alias("long")), "shared")
-    places = runs.join(shared, "seed").groupBy("id", "hash").agg(F.collect_list(F.struct("first", "n", "seed", "long")).alias("places"))
+    shared = runs.groupBy("seed").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.sum("n").alias("suffixes")).where("x < y")
+    shared = cut(shared.select("seed", (F.col("suffixes") > group).alias("long")), "shared")
+    # a set: rows that repeat an id and a text have their places once
+    places = runs.join(shared, "seed").groupBy("id", "hash").agg(F.collect_set(F.struct("first", "n", "seed", "long")).alias("places"))
     places = cut(places, "places")
     drop(runs, shared)
 
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):  # bounded rows at a time
-                yield paths(batch.slice(lo, 256))
-
-    def paths(batch: pa.RecordBatch) -> pa.RecordBatch:
-        place = batch.column(3).flatten()
-        first, count = place.field("first").to_numpy(), place.field("n").to_numpy()
-        sizes = batch.column(3).value_lengths().to_numpy()
-        last = np.cumsum([0, *sizes])
-        nodes = []
-        for i, raw in enumerate(batch.column(2)):
-            w = word_hashes(np.frombuffer(raw.as_py(), np.uint8))
-            f, n = first[last[i] : last[i + 1]], count[last[i] : last[i + 1]]
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(f, n)
-            nodes.append(_sequence_hash(w, window, 0xC2B2AE3D27D4EB4F)[at])
-        of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        ends = pa.array(np.cumsum([0, *count]), pa.int32())
-        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.uint64), *nodes]).view(np.int64)))
-        return pa.RecordBatch.from_arrays([place.field("seed"), place.field("long"), batch.column(0).take(of), batch.column(1).take(of), place.field("first"), lists], names=["seed", "long", "id", "hash", "first", "nodes"])
+    def suffixes(long: bool):
+        """(id, hash, raw, places) to runs of suffixes with their words; of long seeds each suffix with the hash of its longer prefix."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):  # bounded rows at a time
+                    yield part(batch.slice(lo, 256))
+
+        def part(batch: pa.RecordBatch) -> pa.RecordBatch:
+            prefix, of, first, many, words = [], [], [], [], []
+            for i, raw in enumerate(batch.column(2)):
+                place = batch.column(3)[i].values
+                f, n = place.field("first").to_numpy(), place.field("n").to_numpy()
+                if long:
+                    raw, key = raw.as_py(), place.field("seed").to_numpy()
+                    w = word_hashes(np.frombuffer(raw, np.uint8))
+                    p = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(f, n)
+                    prefix.append(mix(_sequence_hash(w, longer, 0x9FB21C651E98DF25)[p] ^ np.repeat(key, n).view(np.uint64)).view(np.int64))
+                    each = raw.split()  # of bytes: at the white space of ASCII only
+                    words.extend(b" ".join(each[x : x + window]) for x in p.tolist())
+                    f, n = p, np.ones(len(p), np.int64)
+                else:
+                    raw = raw.as_py()
+                    begin, end = word_starts(np.frombuffer(raw, np.uint8))
+                    prefix.append(place.field("seed").to_numpy())
+                    words.extend(map(raw.__getitem__, map(slice, begin[f].tolist(), end[f + n + window - 2].tolist())))
+                of.append(np.full(len(f), i)), first.append(f), many.append(n)
+            of = pa.array(np.concatenate([np.zeros(0, np.int64), *of]).astype(np.int64))
+            numbers = [pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int32)) for x in (first, many)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *prefix]).astype(np.int64)), batch.column(0).take(of), batch.column(1).take(of), *numbers, pa.array(words, pa.binary())], names=["prefix", "id", "hash", "first", "n", "words"])
+
+        return run
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by seed and id to ranges of removable suffixes."""
-        for batch in whole_groups(batches, "seed"):
-            n = batch["nodes"].value_lengths().to_numpy()
+        """Rows sorted by prefix to ranges of removable suffixes."""
+        for batch in whole_groups(batches, "prefix"):
+            n, first = batch["n"].to_numpy().astype(np.int64), batch["first"].to_numpy()
             row = np.repeat(np.arange(batch.num_rows), n)
-            node, seed_ = batch["nodes"].flatten().to_numpy(), batch["seed"].to_numpy()[row]
-            at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(batch["first"].to_numpy(), n)
-            order = np.lexsort((row, node, seed_))  # a node's leaves side by side, the smallest id first
-            new = np.concatenate([[True], (node[order][1:] != node[order][:-1]) | (seed_[order][1:] != seed_[order][:-1])])
-            code = batch["id"].dictionary_encode().indices.to_numpy()
-            least = np.empty(len(row), np.int64)
-            least[order] = code[row[order]][np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))]
-            gone = np.flatnonzero(least != code[row])
-            head = np.concatenate([[True], (row[gone][1:] != row[gone][:-1]) | (at[gone][1:] != at[gone][:-1] + 1)]) if len(gone) else np.zeros(0, bool)
-            begin = np.flatnonzero(head)
-            of = pa.array(row[gone][begin])
-            yield pa.RecordBatch.from_arrays([batch["id"].take(of), batch["hash"].take(of), pa.array(at[gone][begin], pa.int32()), pa.array(np.diff(begin, append=len(gone)), pa.int32())], names=["id", "hash", "first", "n"])
-
-    held = texts.join(places, ["id", "hash"]).select("id", "hash", "raw", "places")
-    leaves = held.mapInArrow(suffixes, f"seed long, long boolean, id {kind}, hash long, first int, nodes array<long>")
-    leaves = cut(leaves, "suffixes")
-    drop(places)
-    short = leaves.where("not long").repartition("seed").sortWithinPartitions("seed", "id")
-    ranges = short.select("seed", "id", "hash", "first", "nodes").mapInArrow(subtrees, f"id {kind}, hash long, first int, n int")
-    deep = leaves.where("long").select("seed", "id", "hash", "first", F.posexplode("nodes").alias("p", "node"))
-    inner = deep.groupBy("seed", "node").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("seed", "node", "least")
-    later = deep.join(inner, ["seed", "node"]).where("id > least").select("id", "hash", (F.col("first") + F.col("p")).alias("first"), F.lit(1).alias("n"))
-    out = cut(ranges.unionByName(later).groupBy("id", "hash").agg(F.collect_list(F.struct("first", "n")).alias("ranges")), "repeats")
-    drop(leaves)
+            offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            words = pa.array(b" ".join(batch["words"].to_pylist()).split(), pa.binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+            size = n + window - 1
+            doc = np.unique(batch["id"].to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            gone = np.flatnonzero(deep_suffixes(words, (np.cumsum(size) - size)[row] + offset, batch["prefix"].to_numpy()[row], doc[row], window))
+            head = np.flatnonzero(np.concatenate([[True], (row[gone][1:] != row[gone][:-1]) | (offset[gone][1:] != offset[gone][:-1] + 1)])) if len(gone) else gone
+            of = row[gone][head]
+            yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(of)), batch["hash"].take(pa.array(of)), pa.array((first[of] + offset[gone][head]).astype(np.int32)), pa.array(np.diff(head, append=len(gone)).astype(np.int32))], names=["id", "hash", "first", "n"])
+
+    leaf, found = f"prefix long, id {kind}, hash long, first int, n int, words binary", f"id {kind}, hash long, first int, n int"
+    grown = lambda rows: rows.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(subtrees, found)
+    held = texts.join(places, ["id", "hash"]).dropDuplicates(["id", "hash"]).select("id", "hash", "raw", "places")
+    of_kind = lambda long: held.select("id", "hash", "raw", F.filter("places", lambda x: x["long"] == long).alias("places")).where(F.size("places") > 0).mapInArrow(suffixes(long), leaf)
+    tables = [grown(of_kind(False))]
+    if not places.where(F.exists("places", lambda x: x["long"])).isEmpty():
+        deep = cut(of_kind(True), "suffixes")
+        sizes = deep.groupBy("prefix").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("suffixes")).where("x < y").select("prefix", "suffixes")
+        sizes = cut(sizes, "prefixes")
+        tables.append(grown(deep.join(sizes.where(F.col("suffixes") <= group), "prefix", "left_semi")))
+        whole = deep.join(sizes.where(F.col("suffixes") > group), "prefix", "left_semi").select("id", "hash", "first", "n", "words")
+        inner = whole.groupBy("words").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("words", "least")
+        tables.append(whole.join(inner, "words").where("id > least").select("id", "hash", "first", "n"))
+    else:
+        deep = sizes = None
+    every = tables[0]
+    for table in tables[1:]:
+        every = every.unionByName(table)
+    out = cut(every.groupBy("id", "hash").agg(F.collect_set(F.struct("first", "n")).alias("ranges")), "repeats")
+    drop(*filter(None, (places, deep, sizes)))
     return out
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, seed: int = 5, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, seed: int = 5, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, **options) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_removed, kept_sha256 and, with with_text, the kept words.
 
     A word goes if a window covers it whose words also start in a document with a smaller id; windows are
@@ -147,12 +193,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, seed: int = 5, id_col: str
 
     * A null or empty text has no words: counts 0 and the hash of an empty text.
     * Rows without an id take no part: nothing of them is removed, and nothing because of them.
-    * Repeated rows, and rows that share an id, don't count as each other's repeats.
-    * Texts of fewer words than a window keep them all. An empty table gives an empty result.
+    * Repeated rows, and rows that share an id, don't count as each other's repeats; they cost no more than other rows.
+    * Texts of fewer words than a window keep them all. Texts of any length are cut whole. An empty table gives an empty result.
+    * Other columns are not read, so their names don't matter.
     """
-    repeats = repeated_windows(docs, window, seed, id_col=id_col, text_col=text_col)
+    repeats = repeated_windows(docs, window, seed, id_col=id_col, text_col=text_col, **options)
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), text_of(text_col).alias("raw"))
+    rows = docs.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("hash"), text_of(text_col).alias("raw"))
     rows = rows.join(repeats, ["id", "hash"], "left").select("id", "raw", "ranges")
 
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
