@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remainder, share, text_of
+from .common import column, remainder, share, text_of, unfold
 
 BUCKETS = 1 << 16
 #: Bytes as the model sees them: A-Z in lower case; digits, punctuation and control characters are gaps.
@@ -122,16 +122,16 @@ def _em(like: np.ndarray, sizes: np.ndarray, mask: np.ndarray, steps: int = 20,
     return share, total
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000, most_langs: int = 128) -> Model:
-    """Learn from rows with text and language. The sample is bounded: about per_lang rows, dealt by a hash of
-    the id, of each of the most_langs commonest languages; trigram counts are summed on the executors."""
-    known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 2000) -> Model:
+    """Learn every language that rows with a text have. The sample is bounded: about per_lang rows of each language,
+    dealt by a hash of the id; trigram counts are summed on the executors. The model has 256 KB for each language."""
+    known = docs.select(column(id_col).alias("id"), column(text_col).alias("text"), column(lang_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    counts = known.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
     langs = sorted(r["lang"] for r in counts)
     if not langs:
         return Model([], np.zeros((0, BUCKETS)))
     part = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_lang / r["count"]))])
-    rows = known.where(F.col(lang_col).isin(langs)).where(share(F.col(id_col), F.element_at(part, F.col(lang_col))))
+    rows = known.where(share(F.col("id"), F.element_at(part, F.col("lang"))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             some = np.flatnonzero(got)
             yield pa.record_batch({"lang": pa.array([lang] * len(some), pa.string()), "bucket": pa.array(some, pa.int64()), "n": pa.array(got[some], pa.int64())})
 
-    sums = rows.select(F.col(lang_col).alias("lang"), text_of(text_col).alias("raw")).mapInArrow(count, "lang string, bucket long, n long")
+    sums = rows.select("lang", text_of("text").alias("raw")).mapInArrow(count, "lang string, bucket long, n long")
     found = sums.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows for each language at most
     table = np.zeros((len(langs), BUCKETS))
     place = {x: i for i, x in enumerate(langs)}
@@ -153,23 +153,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def identify(docs: DataFrame, model: Model, keep: list[Column], text_col: str = "text") -> DataFrame:
-    """The columns keep (simple columns of docs, by name) and lang_pred, score, n_langs for every row.
+    """The columns keep of docs and lang_pred, score, n_langs for every row.
 
-    lang_pred is ``und`` and score 0 if the text is null or has no letter (Unicode). score is the
-    estimated proportion of the document's words that the language accounts for. Repeated rows give
-    equal results; without any learned language all rows are ``und``.
+    score is the estimated proportion of the document's words that the language accounts for.
+
+    * A text that is null, empty or has no letter (Unicode) has lang_pred ``und`` and score 0, and so has
+      every text where no language was learned. Of languages that tie the first by name counts.
+    * Texts of any length are read whole; memory depends on the longest one.
+    * Repeated rows give equal results; ids may be null; an empty table gives an empty result.
+    * A column of keep that has a result column's name is replaced by it; other names don't matter.
     """
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    names = rows.columns[:-1]
-    schema = rows.drop("__text").schema
-    out = schema.add("lang_pred", "string", False).add("score", "double", False).add("n_langs", "integer", False)
+    rows = docs.select(F.struct(*keep).alias("kept"), column(text_col).alias("text"))
+    result = ["lang_pred", "score", "n_langs"]
+    out = rows.select("kept").schema.add("lang_pred", "string", False).add("score", "double", False).add("n_langs", "integer", False)
     held = docs.sparkSession.sparkContext.broadcast(model)
     slice_bytes = max(1 << 16, (1 << 22) // max(1, len(model.langs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
-            text = batch.column(len(names))
+            text = batch.column(1)
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             raws = text.cast(pa.binary()).to_pylist()
             best, score, kinds = np.full(len(raws), -1), np.zeros(len(raws)), np.zeros(len(raws), int)
@@ -183,9 +186,9 @@ def identify(docs: DataFrame, model: Model, keep: list[Column], text_col: str =
                     lot.append(int(i))
                     held_bytes += len(raws[i])
             langs = [m.langs[k] if k >= 0 else "und" for k in best]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(names))], pa.array(langs, pa.string()), pa.array(score), pa.array(kinds, pa.int32())], names=[*names, "lang_pred", "score", "n_langs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(score), pa.array(kinds, pa.int32())], names=["kept", *result])
 
-    return rows.mapInArrow(run, out)
+    return unfold(rows.mapInArrow(run, out), "kept", result)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
