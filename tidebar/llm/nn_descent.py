@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, drop, whole_groups
+from .common import column, cut, drop, whole_groups
 
 _GRAPH = "u long, vec binary, scale float, ids array<long>, scores array<float>, fresh array<boolean>"
 
@@ -159,16 +159,19 @@ def _both_ways(graph: DataFrame, reverse: int, salt: int) -> DataFrame:
     return out.unionByName(back)
 
 
-def build_graph(nodes: DataFrame, k: int = 48, reverse: int = 24, offers: int = 8, block: int = 512, rounds: int = 3, steps: int = 12, settled: float = 0.03) -> DataFrame:
-    """nodes (u, embedding) to a graph: each node's k nearest found, with their scores."""
-    starts = [nodes.repartition(F.xxhash64("u", F.lit(salt))).mapInArrow(_start(k, block), _GRAPH).drop("fresh") for salt in range(rounds)]
+def build_graph(nodes: DataFrame, k: int = 48, reverse: int = 24, offers: int = 8, block: int = 512, rounds: int = 3, settled: float = 0.03) -> DataFrame:
+    """nodes (u, embedding) to a graph: each node's k nearest found, with their scores. Lists only ever improve, so it settles."""
+    dealt = lambda salt: F.xxhash64("u", F.lit(salt))
+    # sorted, so that a task that runs again deals the same blocks
+    starts = [nodes.repartition(dealt(salt)).sortWithinPartitions(dealt(salt), "u").mapInArrow(_start(k, block), _GRAPH).drop("fresh") for salt in range(rounds)]
     every = starts[0]
     for other in starts[1:]:
         every = every.unionByName(other.select("u", "ids", "scores"), allowMissingColumns=True)
     graph = every.repartition("u").sortWithinPartitions("u").mapInArrow(_merge(k), _GRAPH)
     graph = cut(graph.withColumn("fresh", F.transform("ids", lambda _: F.lit(True))), "graph")
     n = graph.count()
-    for step in range(steps if n > block else 0):
+    step = 0
+    while n > block:
         members = _both_ways(graph, reverse, step).groupBy("v", "u").agg(F.max("fresh").alias("fresh"))
         worst = F.when(F.size("scores") < k, F.lit(float("-inf"))).otherwise(F.element_at("scores", -1)).cast("float").alias("worst")
         members = members.join(graph.select("u", "vec", "scale", worst), "u")
@@ -181,6 +184,7 @@ def build_graph(nodes: DataFrame, k: int = 48, reverse: int = 24, offers: int =
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0]
         if changed < settled * n * k:
             break
+        step += 1
     return graph
 
 
@@ -217,13 +221,13 @@ def _advance(beam: int, expand: int) -> Callable:
     return run
 
 
-def search(graph: DataFrame, queries: DataFrame, beam: int = 96, expand: int = 24, hops: int = 24) -> DataFrame:
-    """Greedy search from the nodes in queries (u): (q, ids, scores), the best first."""
+def search(graph: DataFrame, queries: DataFrame, beam: int = 96, expand: int = 24) -> DataFrame:
+    """Greedy search from the nodes in queries (u), until each has expanded all of its beam: (q, ids, scores), the best first."""
     near = cut(_both_ways(graph, 48, -1).groupBy("v").agg(F.collect_set("u").alias("near")), "near")
     vectors = graph.select(F.col("u").alias("x"), "vec", "scale")
     state = graph.join(queries, "u", "left_semi").select(F.col("u").alias("q"), "vec", "scale", "ids", "scores", F.transform("ids", lambda _: F.lit(True)).alias("todo"))
     state = cut(state, "beam")
-    for _ in range(hops):
+    while True:
         tried = F.slice(F.filter(F.arrays_zip("ids", "todo"), lambda y: y["todo"]), 1, expand)
         front = state.select("q", F.explode(F.transform(tried, lambda y: y["ids"])).alias("v"))
         found = front.join(near, "v").select("q", F.explode("near").alias("x")).where("x <> q").distinct().join(vectors, "x")
@@ -233,6 +237,7 @@ def search(graph: DataFrame, queries: DataFrame, beam: int = 96, expand: int = 2
         state = new
         if state.where(F.exists("todo", lambda y: y)).isEmpty():
             break
+    drop(near)
     return state.select("q", "ids", "scores")
 
 
@@ -243,11 +248,11 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     * Vectors that are null, empty or zero, hold a null or non-finite component, or have another length than most take no part, nor do rows without an id.
     * Equal vectors are ties; rows that repeat an id and a vector count once. With k other rows or less, all are found.
-    * An empty table gives an empty result.
+    * An empty table gives an empty result. Only the id and the vector are read; other columns don't matter.
     """
-    value = F.col(vector_col).cast("array<double>")
-    fine = F.col(id_col).isNotNull() & F.forall(value, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(value, lambda c: c != 0)
-    rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), value.alias("embedding"))
+    value = column(vector_col).cast("array<double>")
+    fine = column(id_col).isNotNull() & F.forall(value, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(value, lambda c: c != 0)
+    rows = vectors.where(fine).select(column(id_col).cast("long").alias("id"), value.alias("embedding"))
     common = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
     rows = rows.where(F.size("embedding") == (common["d"] if common else 0)).distinct()
     # nodes: equal vectors, with the smallest ids of each; queries belong to a node whatever their id
@@ -267,7 +272,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     lists = best.groupBy("q").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("best"))
     hits = asked.join(lists, asked["u"] == lists["q"]).select("query_id", F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k).alias("best"))
     out = hits.select("query_id", F.posexplode("best").alias("p", "b"))
-    return out.select("query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    out = cut(out.select("query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score")), "nearest")
+    drop(nodes, asked, graph)
+    return out
 
 
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
