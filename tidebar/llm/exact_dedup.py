@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut
+from .common import SPACE, column, cut
 
 
 def normalised(text: str = "text") -> F.Column:
     """The text with every run of white space as one space; null as an empty text."""
-    return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, " ")
+    return F.regexp_replace(F.coalesce(column(text), F.lit("")), SPACE, " ")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of=F.md5) -> DataFrame:
@@ -29,7 +29,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     hash_of: the content hash, a function of a binary column that gives a 128-bit hex string; tests pass a weak one.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("norm"))
+    rows = docs.select(column(id_col).alias("doc_id"), normalised(text_col).alias("norm"))
     rows = rows.withColumn("h", hash_of(F.col("norm").cast("binary")))
     groups = rows.groupBy("h", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = cut(groups.select("h", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "keep_id", "group_size"), "groups")
@@ -52,11 +52,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Ids that are null come last, and rows that tie in id and text leave one. The text travels once, as the
     grouping key; a text that normalising changes goes along as it was.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.when(~F.col(text_col).eqNullSafe(normalised(text_col)), F.struct(text_col)).alias("__was"))
-    rows = docs.select(normalised(text_col).alias("norm"), whole.alias("row"), F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(whole)).alias("order"))
+    text = column(text_col)
+    rest = F.struct(*[column(c).alias(c) for c in docs.columns if c != text_col]) if len(docs.columns) > 1 else F.lit(None)
+    whole = F.struct(rest.alias("rest"), F.when(~text.eqNullSafe(normalised(text_col)), F.struct(text.alias("text"))).alias("was"))
+    rows = docs.select(normalised(text_col).alias("norm"), whole.alias("row"), F.struct(column(id_col).isNull(), column(id_col), F.xxhash64(whole)).alias("order"))
     kept = rows.groupBy(F.md5(F.col("norm").cast("binary")).alias("h"), "norm").agg(F.min_by("row", "order").alias("row"))
-    text = F.when(F.col("row.__was").isNull(), F.col("norm")).otherwise(F.col("row.__was")[text_col])
-    return kept.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    text = F.when(F.col("row.was").isNull(), F.col("norm")).otherwise(F.col("row.was.text"))
+    return kept.select(*[text.alias(c) if c == text_col else F.col("row.rest").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

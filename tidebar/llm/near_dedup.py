@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, drop, mix, text_of, word_hashes
+from .common import column, drop, mix, text_of, whole_row, word_hashes
+from .common import cut as write
 from .components import components
 
 #: Components (a prime number of them), rows of a band and bands. At a similarity of 0.8 a pair shares no band with probability (1 - 0.8 ** 5) ** 29 = 1e-5.
@@ -133,23 +134,23 @@ def _most(a: str, b: str) -> Column:
     return F.least(f"m{a}", f"m{b}", F.floor((F.col(f"m{a}") + F.col(f"m{b}") - apart) / 2))
 
 
-def _rare(sets: DataFrame, among: DataFrame, few: int) -> tuple[DataFrame, DataFrame]:
+def _rare(sets: DataFrame, among: DataFrame, few: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of the nodes in among, with elements being rare that at most few of them have: (nid, size, m, p0, ...), the
     elements of a set, those of them that aren't rare and the parities of these, and the pairs (a, b, common) with
     rare ones in common."""
     held = sets.join(among, "nid", "left_semi")
-    items = cut(held.select("nid", F.explode("items").alias("item")), "items")
-    rare = cut(items.join(items.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(f"c <= {few}"), "item"), "rare")
+    items = write(held.select("nid", F.explode("items").alias("item")), "items")
+    rare = write(items.join(items.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(f"c <= {few}"), "item"), "rare")
     own = rare.groupBy("nid").agg(F.count(F.lit(1)).alias("own"), *_parity())
     own = own.select("nid", "own", *(F.col(f"p{i}").alias(f"q{i}") for i in range(PARITY)))
     none = F.lit(0).cast("long")
     rest = [F.col(f"p{i}").bitwiseXOR(F.coalesce(f"q{i}", none)).alias(f"p{i}") for i in range(PARITY)]
     every = items.groupBy("nid").agg(F.count(F.lit(1)).alias("size"), *_parity())
-    sizes = cut(every.join(own, "nid", "left").select("nid", "size", (F.col("size") - F.coalesce("own", none)).alias("m"), *rest), "sizes")
+    sizes = write(every.join(own, "nid", "left").select("nid", "size", (F.col("size") - F.coalesce("own", none)).alias("m"), *rest), "sizes")
     drop(items)
     two = rare.where("c > 1").select("item", "nid")
     pairs = two.withColumnRenamed("nid", "a").join(two.withColumnRenamed("nid", "b"), "item").where("a > b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
-    return sizes, pairs
+    return sizes, pairs, rare
 
 
 def _open(members: DataFrame, labels: DataFrame, size: int) -> DataFrame:
@@ -167,9 +168,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     * A null or empty text, or one without words, has an empty set: n_shingles 0, linked with nothing.
     * Null ids are never the smallest; a row without an id has component_id null if it reaches no id, and is then kept.
     * Repeated rows give equal results. Rows that share an id but not a text are linked by their texts only.
-    * An empty table gives an empty result. Other columns are not read.
+    * An empty table gives an empty result. Other columns are not read, so their names don't matter.
+    * Texts of any length count whole.
+
+    Sets are of 64-bit hashes of shingles; equal sets are told by 128 bits.
     """
-    rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text_col).alias("row_hash"), text_of(text_col).alias("raw"))
+    scratch: list[DataFrame] = []
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(write(df, name))
+        return scratch[-1]
+
+    rows = docs.select(column(id_col).alias("row_id"), F.xxhash64(column(text_col)).alias("row_hash"), text_of(text_col).alias("raw"))
     kind = docs.schema[id_col].dataType.simpleString()
     signed = cut(rows.mapInArrow(_signed(words), f"row_id {kind}, row_hash long, n long, k1 long, k2 long, bands array<long>"), "signed")
     # one node for each set; a document with it is read again where the set itself is needed
@@ -196,7 +206,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     # in what is left, pairs with rare elements in common are found by these; others can have no more in common than the rest
     still = _open(members, labels, 1).select("nid", "label").distinct()
     still = cut(still, "open")
-    bounds, pairs = _rare(sets, still.select("nid"), few)
+    bounds, pairs, rare = _rare(sets, still.select("nid"), few)
+    scratch += [bounds, rare]
     known = bounds.join(still, "nid")
     for side in ("a", "b"):
         pairs = pairs.join(known.select(F.col("nid").alias(side), F.col("size").alias(f"n_{side}"), F.col("m").alias(f"m_{side}"), F.col("label").alias(f"label_{side}")), side)
@@ -226,21 +237,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             labels = cut(components(links), "labels")
         drop(ranked)
         low, high = high, 4 * high
-    drop(sets, ordered)
     held = nodes.select("k1", "k2", "nid", "first_id").join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     smallest = held.groupBy("label").agg(F.min("first_id").alias("component_id"))
     held = held.join(smallest, "label").select("k1", "k2", "component_id")
     out = signed.select("row_id", "row_hash", "n", "k1", "k2").join(held, ["k1", "k2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("row_id"))
-    return out.select(F.col("row_id").alias("doc_id"), "row_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("row_id").eqNullSafe(component).alias("kept"))
+    out = out.select(F.col("row_id").alias("doc_id"), "row_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("row_id").eqNullSafe(component).alias("kept"))
+    out = write(out, "near-duplicates")
+    drop(*scratch)
+    return out
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that near_duplicates() keeps, with all their columns."""
-    kept = near_duplicates(docs, words, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash")).distinct()
-    rows = docs.withColumn("__row_hash", F.xxhash64(text_col))
-    same: Column = rows[id_col].eqNullSafe(kept["__id"]) & (rows["__row_hash"] == kept["__hash"])
-    return rows.join(kept, same, "left_semi").drop("__row_hash")
+    kept = near_duplicates(docs, words, percent, id_col, text_col).where("kept").select("doc_id", "row_hash").distinct()
+    rows = docs.select(whole_row(docs).alias("row"), column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("hash"))
+    same: Column = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["hash"] == kept["row_hash"])
+    return rows.join(kept, same, "left_semi").select("row.*")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
