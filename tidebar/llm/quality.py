@@ -5,14 +5,20 @@ lengths and repetitions, those of the lines before and after, and its place; tra
 neighbouring lines. Forward-backward gives each line's marginal probability of being good; their mean,
 weighted by the lines' lengths, is the document's quality, calibrated into a probability.
 
-Labels exist for documents only. In training a line has its document's label, and the weights of the
-field are those that maximise the labels' conditional likelihood over a bounded sample of labelled
-documents (``sample`` rows, dealt by a hash of the id, of ``train_lines`` lines at most). Scoring reads
-every whole text.
+Labels exist for documents only, so the lines' labels are latent. They start as their document's label.
+Then, in rounds, each document's lines get the field's own marginals, shifted by a bias so that their
+weighted mean agrees with the document's label: at least ``least`` where it is good, at most ``most`` where it is bad (posterior
+regularisation). So a good document may hold a few bad lines and a bad one good lines, and transitions
+learn from labels that change within documents.
+
+Training uses a bounded sample of labelled documents: about ``sample`` rows, dealt by a hash of the id, and
+of each of them at most ``train_lines`` neighbouring lines, from a place that a hash of the text tells.
+Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, mix, remainder, share, text_of
+from .common import IS_SPACE, mix, remainder, share, text_of, unfold
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _MARK, _SIGN, _WIDE, _ODD = range(8)
 _KIND = np.full(256, _SIGN, np.uint8)
@@ -135,32 +141,54 @@ def _logit(q: np.ndarray) -> np.ndarray:
     return np.log(q / (1 - q))
 
 
-def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 150, ridge: float = 1e-3) -> Field:
-    """Gradient ascent (Adam) on the conditional log-likelihood, each document with the same weight."""
+def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 80, rounds: int = 3, ridge: float = 1e-3, least: float = 0.9, most: float = 0.5) -> Field:
+    """Gradient ascent (Adam) on the expected log-likelihood of the lines' labels, each document with the same weight."""
     x = np.concatenate([d[0] for d in docs]).astype(float)
     mean, std = x.mean(0), x.std(0)
     mean[-4], std[std < 1e-6], std[-4] = 0, 1, 1
     x = (x - mean) / std
     sizes = np.array([len(d[1]) for d in docs])
-    y = np.repeat(labels.astype(float), sizes)
+    weight = np.concatenate([d[1] for d in docs])
     each = np.repeat(1 / sizes, sizes)
-    at = np.cumsum(sizes) - sizes
-    inner = np.ones(len(y), bool)
-    inner[at] = False
-    stay = np.zeros((2, 2))
-    for v in (0, 1):
-        stay[v, v] = (inner & (y == v)).sum()
-    n_inner = max(1, inner.sum())
+    y = np.repeat(labels.astype(float), sizes)
+    first = np.zeros(len(y), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    pairs_y = np.diag([(~first & (y == v)).sum() for v in (0, 1)]).astype(float)
+    n_inner = max(1, (~first).sum())
     theta = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         field = Field(theta[:-4], theta[-4:].reshape(2, 2), mean, std)
-        good, pairs, _ = field.marginals(x @ field.w, sizes)
-        grad = np.concatenate([x.T @ ((y - good) * each) / len(docs), ((stay - pairs) / n_inner).ravel()]) - ridge * theta
+        unary = x @ field.w
+        if step > steps // 2 and (step - 1) % max(1, steps // (2 * rounds)) == 0:
+            y, pairs_y = agreeing(field, unary, sizes, weight, labels, least, most)
+        good, pairs, _ = field.marginals(unary, sizes)
+        grad = np.concatenate([x.T @ ((y - good) * each) / len(docs), ((pairs_y - pairs) / n_inner).ravel()]) - ridge * theta
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta = theta + 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    field = Field(theta[:-4], theta[-4:].reshape(2, 2), mean.astype(np.float32), std.astype(np.float32))
-    return Field(field.w.astype(np.float32), field.trans, field.mean, field.std, _calibrate(_logit(field.quality(docs)), labels.astype(float)))
+    field = Field(theta[:-4].astype(np.float32), theta[-4:].reshape(2, 2), mean.astype(np.float32), std.astype(np.float32))
+    return Field(field.w, field.trans, field.mean, field.std, _calibrate(_logit(field.quality(docs)), labels.astype(float)))
+
+
+def agreeing(field: Field, unary: np.ndarray, sizes: np.ndarray, weight: np.ndarray, labels: np.ndarray, least: float, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Lines' marginals and expected transitions under the smallest bias of each document with which its
+    weighted mean agrees with its label, found by bisection."""
+    at = np.cumsum(sizes) - sizes
+    total = np.add.reduceat(weight, at)
+    sign = np.where(labels == 1, 1.0, -1.0)
+    bound = np.where(labels == 1, least, most)
+
+    def enough(bias: np.ndarray) -> np.ndarray:
+        good = field.marginals(unary + np.repeat(sign * bias, sizes), sizes)[0]
+        return sign * (np.add.reduceat(good * weight, at) / total - bound) >= 0
+
+    low, high = np.zeros(len(sizes)), np.where(enough(np.zeros(len(sizes))), 0.0, 16.0)
+    for _ in range(8):
+        middle = (low + high) / 2
+        ok = enough(middle)
+        low, high = np.where(ok, low, middle), np.where(ok, middle, high)
+    good, pairs, _ = field.marginals(unary + np.repeat(sign * high, sizes), sizes)
+    return good, pairs
 
 
 def _calibrate(z: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
@@ -173,8 +201,8 @@ def _calibrate(z: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float
     return float(c[0]), max(1e-3, float(c[1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 6000, train_lines: int = 400) -> Field:
-    """Learn from labelled documents whose crc32(id) mod 5 isn't 0; sample and train_lines bound what the driver gets.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 6000, train_lines: int = 64) -> Field:
+    """Learn from labelled documents whose crc32(id) mod 5 isn't 0; sample and train_lines bound what the driver gets (about 80 MB).
 
     Where a document has several labels the smallest counts. Without labels of both kinds every text scores the share of label 1.
     """
@@ -188,8 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             ys, xs, ls = [], [], []
             for y, raw in zip(batch["y"].to_pylist(), batch["raw"].to_pylist(), strict=True):
                 x, size = line_features(raw)
-                if len(size) <= train_lines:
-                    ys.append(y), xs.append(x.tobytes()), ls.append(size.tobytes())
+                a = zlib.crc32(raw) % max(1, len(size) - train_lines + 1)
+                ys.append(y), xs.append(x[a : a + train_lines].tobytes()), ls.append(size[a : a + train_lines].tobytes())
             yield pa.record_batch({"y": pa.array(ys, pa.int32()), "x": pa.array(xs, pa.binary()), "size": pa.array(ls, pa.binary())})
 
     got = rows.select(F.col("y").cast("int"), "raw").mapInArrow(features, "y int, x binary, size binary").toArrow()
@@ -202,27 +230,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([read[i] for i in order], y[order])
 
 
-def score_quality(docs: DataFrame, field: Field, keep: list[Column], text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The columns keep, score (0 to 1) and predicted (1 if score >= threshold) of every row; null texts count as empty."""
-    rows = docs.select(*keep, text_of(text_col).alias("__raw"))
-    names = rows.columns[:-1]
-    out = rows.drop("__raw").schema.add("score", "double", False).add("predicted", "integer", False)
+def quality_score(docs: DataFrame, field: Field, text_col: str = "text") -> Column:
+    """The score of docs' texts as a column: only texts travel to Python, and only numbers back."""
     held = docs.sparkSession.sparkContext.broadcast(field)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(raws: pa.Array) -> pa.Array:
         f = held.value
-        for batch in batches:
-            parts, lot, lines = [], [], 0
-            for raw in batch.column(len(names)):
-                lot.append(line_features(raw.as_py()))
-                lines += len(lot[-1][1])
-                if lines > 50_000:
-                    parts.append(f.quality(lot))
-                    lot, lines = [], 0
-            score = f.score(np.concatenate([*parts, f.quality(lot)]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(names))], pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=[*names, "score", "predicted"])
-
-    return rows.mapInArrow(run, out)
+        parts, lot, lines = [], [], 0
+        for raw in raws:
+            lot.append(line_features(raw.as_py()))
+            lines += len(lot[-1][1])
+            if lines > 10_000:
+                parts.append(f.quality(lot))
+                lot, lines = [], 0
+        return pa.array(f.score(np.concatenate([*parts, f.quality(lot)])))
+
+    return score(text_of(text_col))
+
+
+def score_quality(docs: DataFrame, field: Field, keep: list[Column], text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The columns keep, score (0 to 1) and predicted (1 if score >= threshold) of every row.
+
+    * A null or empty text, or one of blank lines, counts as one empty line. Texts of any length are scored whole.
+    * Repeated rows give equal results; ids may be null; an empty table gives an empty result.
+    * A column of keep called score or predicted is replaced; other names don't matter.
+    """
+    rows = docs.select(F.struct(*keep).alias("kept"), quality_score(docs, field, text_col).alias("score"))
+    return unfold(rows.withColumn("predicted", (F.col("score") >= threshold).cast("int")), "kept", ["score", "predicted"])
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
