@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet to the
-shared folder and reads it again as the next stage's docs.
+shared folder and reads it again as the next stage's docs. Stages but the last keep the columns of docs,
+whatever their names; null ids and texts, repeated rows and empty tables are treated as the operators say.
 """
 
 from __future__ import annotations
@@ -12,15 +13,10 @@ from pyspark.sql import functions as F
 from tidebar.llm import common, exact_dedup, mixing, near_dedup, packing, quality
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts to be good."""
+    """Documents that the classifier scores 0.3 or more; null and empty texts are scored as an empty line."""
     field = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score_quality(docs.select(F.struct(*_columns(docs)).alias("row"), "text"), field, [F.col("row")])
-    return scored.where("predicted = 1").select("row.*")
+    return docs.where(quality.quality_score(docs, field) >= 0.3)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +30,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes."""
-    mixed = mixing.entropy_mix(docs, docs.columns)
-    return mixed.where("copies > 0").select(*_columns(docs), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).drop("__copy")
+    """As many copies of each document as the mix takes; a document without words is taken once."""
+    return mixing.mixed_copies(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
