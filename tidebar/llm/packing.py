@@ -1,8 +1,8 @@
 """Packing documents into sequences by order-preserving dynamic programming.
 
 The documents' tokens, in the order in which the table is scanned, are one stream. Sequences are cut
-from it at the ends of documents (free), the ends of sentences (a small penalty) or, at a higher
-penalty, after every ``grid``-th token. Among all such cuts with sequences of at most ``limit`` tokens,
+from it at the ends of documents (free), the ends of sentences (a small penalty) or, where a sentence is
+long, after every ``grid``-th of its tokens (a higher penalty). Among all such cuts with sequences of at most ``limit`` tokens,
 dynamic programming finds those with the least padding plus penalties. With f(j) the least cost of a
 stream that is cut at j,
 
@@ -26,27 +26,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import column, unfold
+
 END = 1
-_BREAKS = re.compile("[\x1c-\x1f]")  # Python's split() takes these for white space; the tokenizer doesn't
 
 
 class WordTokenizer:
-    """Ids of a text, by a tokenizer whose tokens never span white space: each word is encoded once and kept.
+    """Ids of texts, by a tokenizer whose tokens never span white space: a word is encoded once and kept.
 
-    Words are kept as the bytes of their ids, so that a text's ids are one join. Beyond most words the
-    store starts anew.
+    Texts are split and their distinct words found by Arrow, a few megabytes at a time, so that only
+    distinct words are looked up. The store holds the bytes of their ids in two generations of about ``most`` bytes each:
+    when the young one is full it becomes the old one, from which words that turn up again are taken over.
+    Texts that hold a special token's string are encoded as a whole.
     """
 
-    def __init__(self, file: str, most: int = 1_000_000):
+    def __init__(self, file: str, most: int = 64 << 20, slice_bytes: int = 8 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.most, self.known = most, {}
+        self.most, self.slice_bytes, self.bytes, self.known, self.older = most, slice_bytes, 0, {}, {}
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join(["[\x1c-\x1f]", *special])  # Arrow takes these characters for white space; the tokenizer doesn't
         ends = re.compile(r"[.!?。！？…]+(</w>)?")
         vocabulary = self.tokenizer.get_vocab()
         self.stop = np.zeros(max(vocabulary.values()) + 2, np.int8)
@@ -54,26 +59,56 @@ class WordTokenizer:
             if ends.fullmatch(token):
                 self.stop[i] = 1
 
-    def encode(self, text: str) -> np.ndarray:
-        if _BREAKS.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.split()
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) > self.most:
-                self.known.clear()
-                new = set(words)
-            self._learn(list(new))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode many words in one call; each token goes to the word in which it begins."""
-        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
-        begin = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
-        cuts = (4 * np.searchsorted(begin, starts)).tolist()
-        ids = np.array(e.ids, np.uint32).tobytes()
-        self.known.update(zip(words, map(ids.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
+    def encode(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """The ids of each text, in order."""
+        end = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(end, (end[lo - 1] if lo else 0) + self.slice_bytes, "right")))
+            yield from self._encode(texts.slice(lo, hi - lo))
+            lo = hi
+
+    def _encode(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        odd = pc.match_substring_regex(texts, self.odd)
+        lists = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        words = lists.flatten().dictionary_encode()
+        ids, size = self._ids(words.dictionary.to_pylist())
+        code = words.indices.to_numpy()
+        many = size[code]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        begin = np.cumsum(size) - size
+        every = ids[np.arange(ends[-1], dtype=np.int32) + np.repeat((begin[code] - ends[:-1]).astype(np.int32), many)]
+        last = ends[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])].tolist()
+        for i, whole in enumerate(odd.to_pylist()):
+            yield np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32) if whole else every[last[i] : last[i + 1]]
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one after another, and how many each has."""
+        if self.bytes > self.most:
+            self.older, self.known, self.bytes = self.known, {}, 0
+        found = list(map(self.known.get, words))
+        if None in found:
+            new = [w for w, x in zip(words, found, strict=True) if x is None]
+            old = list(map(self.older.get, new))
+            learned = iter(self._learn([w for w, x in zip(new, old, strict=True) if x is None]))
+            got = [next(learned) if x is None else x for x in old]
+            self.known.update(zip(new, got, strict=True))
+            self.bytes += len("".join(new)) + len(b"".join(got)) + 180 * len(new)  # with what Python adds to each
+            more = iter(got)
+            found = [next(more) if x is None else x for x in found]
+        return np.frombuffer(b"".join(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Encode words, many in one call; each token goes to the word in which it begins."""
+        out: list[bytes] = []
+        for lo in range(0, len(words), 256):  # longer texts take the tokenizer more time a word
+            part = words[lo : lo + 256]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            starts = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            cuts = (4 * np.searchsorted(np.fromiter((a for a, _ in e.offsets), np.int64, len(e)), starts)).tolist()
+            ids = np.array(e.ids, np.uint32).tobytes()
+            out.extend(map(ids.__getitem__, map(slice, [0, *cuts], cuts)))
+        return out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -151,7 +186,9 @@ class Packer:
             return
         stop = np.concatenate([x[3] for x in self.docs])
         pay = np.full(self.size, np.inf)
-        pay[self.grid - 1 :: self.grid] = self.hard
+        at = np.arange(1, self.size + 1)
+        since = at - np.maximum.accumulate(np.where(stop > 0, at, 0))  # tokens after the last boundary
+        pay[(since > 0) & (since % self.grid == 0)] = self.hard
         pay[stop == 1] = self.sentence
         pay[stop == 2] = 0
         pay[-1] = 0
@@ -175,22 +212,22 @@ class Packer:
         self.size -= done
 
 
-def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "text", limit: int = 2048, grid: int = 64, sentence: float = 8.0, hard: float = 32.0, section: int = 1 << 16) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "text", limit: int = 2048, grid: int = 64, sentence: float = 4.0, hard: float = 32.0, section: int = 1 << 16) -> DataFrame:
     """One row for each piece: the columns keep of its document, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     tokenizer: path of the tokenizer's file, the same on all machines. limit: a power of two.
 
-    * A null or empty text is the one id 1, as every document ends with that id.
+    * A null or empty text is the one id 1, as every document ends with that id. Texts of any length are cut like others.
+    * Special tokens' strings in a text have the ids that the tokenizer gives them.
     * Repeated rows are documents of their own; ids may be null; a table without rows gives no pieces.
+    * A column of keep that has a result column's name is replaced by it; other names don't matter.
     * Sequence ids are unique; those of an input partition rise from its number times 2**32.
     """
     if limit & (limit - 1):
         raise ValueError("limit must be a power of two")
-    rows = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    names = rows.columns[:-1]
-    schema = rows.drop("__text").schema
+    rows = docs.select(F.struct(*keep).alias("kept"), F.coalesce(column(text_col), F.lit("")).alias("text"))
     numbers = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    out = schema
+    out = rows.select("kept").schema
     for name in numbers:
         out = out.add(name, "long", False)
 
@@ -201,25 +238,25 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "t
         got: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            kept = [pa.concat_arrays([x[0][0].column(k).slice(x[0][1], 1) for x in got]) for k in range(len(names))]
+            kept = pa.concat_arrays([x[0][0].slice(x[0][1], 1) for x in got])
             values = [[x[1] for x in got], [x[2] for x in got], [x[3] for x in got], [x[0][2] for x in got], [first + x[4] for x in got], [x[5] for x in got]]
             got.clear()
-            return pa.RecordBatch.from_arrays([*kept, *[pa.array(v, pa.int64()) for v in values]], names=[*names, *numbers])
+            return pa.RecordBatch.from_arrays([kept, *[pa.array(v, pa.int64()) for v in values]], names=["kept", *numbers])
 
         for batch in batches:
-            light = batch.select(names)
-            for i, text in enumerate(batch.column(len(names))):
-                ids = np.append(words.encode(text.as_py()), np.uint32(END))
+            kept = batch.column(0).take(pa.array(np.arange(batch.num_rows)))  # a copy, so that the texts can go
+            for i, ids in enumerate(words.encode(batch.column(1))):
+                ids = np.append(ids, np.uint32(END))
                 stop = words.stop[ids]
                 stop[-1] = 2
-                got.extend(packer.add((light, i, len(ids)), ids, stop))
+                got.extend(packer.add((kept, i, len(ids)), ids, stop))
                 if len(got) >= 5000:
                     yield flush()
         got.extend(packer.cut(True))
         if got:
             yield flush()
 
-    return rows.mapInArrow(run, out)
+    return unfold(rows.mapInArrow(run, out), "kept", numbers)
 
 
 def tokenizer_file() -> str:
