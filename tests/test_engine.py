@@ -6,10 +6,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+from tidebar import params
 from tidebar.functions import signals, windowed
 from tidebar.operators import profile, recursive
-from tidebar.plans import entries, maintenance, signal_tables
+from tidebar.plans import entries, maintenance, signal_tables, upkeep
 from tidebar.sources import bars as B
+from tidebar.streaming import tail
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -23,12 +26,16 @@ def duck():
     return c
 
 
-@pytest.mark.parametrize("name", list(entries.QUERIES))
+QUERIES, SQL = entries.QUERIES | upkeep.QUERIES, entries.SQL | upkeep.SQL
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    got, want = entries.QUERIES[name](spark, SF).toPandas(), duck.sql(entries.SQL[name]).df()
+    got, want = QUERIES[name](spark, SF).toPandas(), duck.sql(SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
     cols = sorted(got.columns)
-    key = [c for c in ("asset_id", "time", "time_1", "id") if c in cols] or cols
+    key = [c for c in ("asset_id", "time", "time_1", "id") if c in cols]
+    key += [c for c in cols if c not in key]
     got, want = (x[cols].sort_values(key, ignore_index=True) for x in (got, want))
     for c in cols:
         a, b = got[c], want[c]
@@ -115,6 +122,67 @@ def test_upsert_is_idempotent(spark):
     assert maintenance.missing(old, once, signal_tables.KEY).count() == 0
 
 
+def test_upsert_takes_the_newest_and_null_keys(spark):
+    old = spark.createDataFrame([(1, 10, 0), (None, 20, 0)], "k int, v int, at int")
+    new = spark.createDataFrame([(1, 11, 1), (1, 12, 2), (None, 21, 1), (3, 30, 1)], "k int, v int, at int")
+    assert sorted(map(str, ((r.k, r.v) for r in maintenance.upsert(old, new, ["k"], "at").collect()))) == ["(1, 12)", "(3, 30)", "(None, 21)"]
+
+
+def test_stored_table_ignores_versions_that_are_not_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    assert maintenance.stored(spark, path) is None
+    rows = spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
+    maintenance.write_upsert(rows, path, ["k"])
+    (tmp_path / "t" / "v2").mkdir()  # what a run that failed leaves
+    again = maintenance.write_upsert(rows.withColumn("v", F.lit(5)).limit(1), path, ["k"])
+    assert maintenance.latest_version(spark, path) == 2 and sorted(r.v for r in again.collect()) == [2, 5]
+    assert set(maintenance.write_all({"a": rows, "b": rows}, f"file://{tmp_path}", ["k"])) == {"a", "b"}
+
+
+def test_enrichment_keeps_the_rows(spark):
+    mtf = spark.sql("SELECT 1 asset_id, timestamp_ntz'2024-01-01' time_1, cast(null AS double) atr_at_signal")
+    two = spark.sql("SELECT 1 asset_id, timestamp_ntz'2024-01-01' time, '1' interval_min, explode(array(1.0D, 2.0D)) atr_14")
+    assert [r.atr_at_signal for r in maintenance.enrich_atr(mtf, two).collect()] == [2.0]
+
+
+def test_threshold_table_is_read_whole_or_not_at_all(spark):
+    table = spark.range(5).selectExpr("'RSI' indicator_base", "concat('x', id) threshold_name", "cast(id AS double) threshold_value")
+    assert params.thresholds(table)["RSI", "x4"] == 4 and params.thresholds(table)["RSI", "oversold"] == 30
+    with pytest.raises(ValueError, match="at most"):
+        params.thresholds(table, most=4)
+
+
+def test_chunks_of_months_leave_no_day_out(spark):
+    first = spark.sql("SELECT 1 asset_id, timestamp_ntz'2023-12-31' first")
+    got = sorted((r.chunk_start, r.chunk_end) for r in maintenance.date_chunks(first, "2024-07-15").collect())
+    assert all(a[1] == b[0] for a, b in zip(got, got[1:], strict=False)) and str(got[0][0])[:10] == "2023-12-31" and str(got[-1][1])[:10] == "2024-07-15"
+    assert maintenance.date_chunks(first.limit(0), "2024-07-15").count() == 0
+
+
+def test_tail_equals_a_full_run(spark):
+    close = np.random.default_rng(3).random(200) + 1
+    every = make(spark, close)
+    batch = every.where("time >= '2024-01-08 00:00:00'")
+    got = []
+    tail.recompute_tail(lambda: every, windowed.apply, lambda df: got.append(df.orderBy("time").toPandas()), 120)(batch, 0)
+    full = windowed.apply(every).where("time >= '2024-01-08 00:00:00'").orderBy("time").toPandas()
+    assert len(got[0]) == len(full) == 32
+    for c in ("sma_100", "bb_upper", "cmf", "ao", "senkou_b_9_26_52"):
+        assert np.allclose(got[0][c], full[c], equal_nan=True), c
+
+
+def test_bars_of_a_stream(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet").select("event_type", "ts", "value").where("ts < '2024-01-08'")
+    events.orderBy("ts").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = tail.event_bars(spark.readStream.schema(events.schema).parquet(f"{tmp_path}/in"), 60)
+    run = stream.writeStream.format("memory").queryName("bars").outputMode("append").option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start()
+    run.awaitTermination(120)
+    got = {(r.event_type, str(r.time)): r.close for r in spark.table("bars").collect()}
+    names = dict(enumerate(B.TYPES, 1))
+    want = {(names[r.asset_id], str(r.time)): r.close for r in B.bars_from_events(spark, SF).where("time < '2024-01-07 20:00:00'").collect()}
+    assert want.items() <= got.items()
+
+
 def test_bucket_join_picks_closed_bars(spark):
     base = spark.sql("select 1L asset_id, timestamp_ntz'2024-01-01 14:05:00' time, timestamp_ntz'2024-01-01 14:06:00' time_close, 0 s")
     side = lambda close: spark.sql(f"select 1L asset_id, timestamp_ntz'2023-12-31 00:00:00' time, timestamp_ntz'{close}' time_close, 1 s")

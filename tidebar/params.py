@@ -27,10 +27,12 @@ ICHIMOKU = ((9, 26, 52, 26), (10, 30, 60, 30), (7, 22, 44, 22), (6, 20, 52, 20))
 SUPERTREND = (1, 2, 3)
 
 
-def thresholds(table=None) -> dict[tuple[str, str], float]:
-    """Defaults with the rows of a threshold table, a few dozen at most, in their place."""
+def thresholds(table=None, most: int = 10_000) -> dict[tuple[str, str], float]:
+    """Defaults with the rows of a threshold table (a few dozen) in their place; more than ``most`` rows are an error."""
     found = dict(THRESHOLDS)
     if table is not None:
-        for r in table.select("indicator_base", "threshold_name", "threshold_value").limit(10_000).collect():
-            found[(r[0], r[1])] = float(r[2])
+        rows = table.select("indicator_base", "threshold_name", "threshold_value").where("threshold_value IS NOT NULL").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"a threshold table has at most {most} rows")
+        found |= {(r[0], r[1]): float(r[2]) for r in rows}
     return found

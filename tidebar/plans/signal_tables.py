@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +44,16 @@ def signal_sql(source: str, kind: str) -> str:
     return source
 
 
-def multi_timeframe(base: DataFrame, higher: dict[str, DataFrame], columns: list[str], start=None, end=None) -> DataFrame:
+def multi_timeframe(base: DataFrame, higher: dict[str, DataFrame], columns: list[str], start=None, end=None, once: bool = False) -> DataFrame:
     """Base rows (one-minute bars) with the last closed bar of every higher timeframe, without looking ahead.
 
     Timeframe rows are found by equality on the close time rounded down to the bucket; a base row without
     one in each is left out. The sides join by asset and bucket: Spark broadcasts a side or merges by the
-    sizes that it sees.
+    sizes that it sees. start and end: base rows that close in [start, end). With once, base rows that repeat an asset and a
+    time count once.
     """
+    if once:
+        base = base.dropDuplicates(["asset_id", "time"])
     base = base.select("asset_id", F.col("time").alias("time_1"), F.col("time_close").alias("time_close_1"), *[F.col(c).alias(f"{c}_1") for c in columns])
     if start is not None:
         base = base.where(F.col("time_close_1") >= F.lit(start).cast("timestamp_ntz"))
@@ -68,6 +73,39 @@ def lookahead_violations(mtf: DataFrame, suffixes=("60", "240", "d")) -> DataFra
     return mtf.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(x).alias(f"violations_{s}") for x, s in zip(late, suffixes, strict=True)])
 
 
+def _late(suffix: str):
+    return F.col(f"time_close_{suffix}") > F.col("time_close_1")
+
+
+def lookahead_sample(mtf: DataFrame, n: int = 10, suffixes=("d", "240", "60")) -> DataFrame:
+    """The first n rows, by asset and time, that hold a bar which wasn't closed, and the timeframe of the largest such bar."""
+    kind = F.coalesce(*[F.when(_late(s), F.lit(f"{s.upper()} lookahead")) for s in suffixes])
+    times = [c for s in suffixes for c in (f"time_{s}", f"time_close_{s}")]
+    return mtf.select("asset_id", "time_1", "time_close_1", *times, kind.alias("violation_type")).where("violation_type IS NOT NULL").orderBy("asset_id", "time_1").limit(n)
+
+
+def verify(mtf: DataFrame, kind: str, asset_id: int, suffixes=("d", "240", "60")) -> DataFrame:
+    """One row: the asset's rows, how many of them look ahead, and whether none does."""
+    late = F.coalesce(F.greatest(*[F.coalesce(_late(s), F.lit(False)) for s in suffixes]), F.lit(False))
+    out = mtf.where(F.col("asset_id") == asset_id).agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(late).alias("violations"))
+    bad = F.concat(F.col("violations").cast("string"), F.lit(" rows with lookahead bias!"))
+    passed = F.col("violations") == 0
+    return out.select(F.lit(kind).alias("classification"), F.lit(asset_id).alias("asset_id"), "total_rows", "violations", passed.alias("passed"), F.when(passed, F.lit("No lookahead bias detected")).otherwise(bad).alias("message"))
+
+
+def latest_rows(mtf: DataFrame, asset_id: int, n: int = 5, suffixes=("d", "240", "60")) -> DataFrame:
+    """An asset's newest n rows, the bars of each timeframe as 'time - close'."""
+    span = lambda s: F.concat_ws(" - ", F.col(f"time_{s}").cast("string"), F.col(f"time_close_{s}").cast("string")).alias(f"bar_{s}")
+    return mtf.where(F.col("asset_id") == asset_id).orderBy(F.desc("time_1")).limit(n).select("asset_id", "time_1", "time_close_1", *[span(s) for s in suffixes])
+
+
+def signal_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, new_columns): how many columns of graded signals and concordances each table has."""
+    spark = next(iter(tables.values())).sparkSession
+    of = lambda t: sum(bool(re.search(r".signal.", c)) or bool(re.match(r"concordance.", c)) for c in t.columns)
+    return spark.createDataFrame([(name, of(t)) for name, t in tables.items()], "table_name string, new_columns long")
+
+
 def latest(table: DataFrame) -> DataFrame:
     """The newest row's concordance of each series."""
     row = F.max_by(F.struct("time", "concordance_sum", "concordance_count", "concordance_score"), "time")

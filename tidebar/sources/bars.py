@@ -15,10 +15,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def bars_from_events(spark: SparkSession, sf_dir: str, interval: str = "60") -> DataFrame:
-    """Open, high, low, close and volume of ``value`` by event type and interval."""
+    """Open, high, low, close and volume of ``value`` by event type and interval.
+
+    Known types are numbered, others get an id from their name, so each type is a series of its own. A
+    type's times are distinct, as a bar's open and close need; of equal times any counts.
+    """
     minutes = INTERVALS[interval]
     e = read(spark, sf_dir, "events").select("event_type", "ts", "value", F.window("ts", f"{minutes} minutes").alias("w"))
-    rank = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(i + 1)) for i, t in enumerate(TYPES)]).cast("long")
+    rank = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(i + 1)) for i, t in enumerate(TYPES)], F.pmod(F.xxhash64("event_type"), F.lit(1 << 40)) + 1000).cast("long")
     out = e.groupBy(rank.alias("asset_id"), F.col("w.start").alias("time")).agg(
         F.min_by("value", "ts").alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", "ts").alias("close"), F.sum("value").alias("volume")
     )
@@ -50,11 +54,25 @@ def scan(bars: DataFrame, assets=None, interval: str | None = None, start=None,
     if start is None:
         return bars.withColumn("is_target", F.lit(True))
     first = F.lit(start).cast("timestamp_ntz")
-    if lookback:
-        bars = bars.where(F.col("time") >= first - F.make_dt_interval(mins=F.lit(lookback * INTERVALS.get(interval or "1", 1))))
+    bars = bars.where(F.col("time") >= first - F.make_dt_interval(mins=F.lit(lookback * INTERVALS.get(interval or "1", 1))))
     return bars.withColumn("is_target", F.col("time") >= first)
 
 
+def scan_from_gaps(bars: DataFrame, gaps: DataFrame, end=None, lookback: int = LOOKBACK) -> DataFrame:
+    """Bars of the series in gaps (asset_id, interval_min, first_gap) from ``lookback`` intervals before their first gap on;
+    is_target marks those at or after it."""
+    if end is not None:
+        bars = bars.where(F.col("time") <= F.lit(end).cast("timestamp_ntz"))
+    minutes = F.coalesce(F.create_map(*[F.lit(x) for kv in INTERVALS.items() for x in kv])[F.col("interval_min")], F.lit(1))
+    rows = bars.join(gaps, ["asset_id", "interval_min"]).where(F.col("time") >= F.col("first_gap") - F.make_dt_interval(mins=minutes * lookback))
+    return rows.withColumn("is_target", F.col("time") >= F.col("first_gap")).drop("first_gap")
+
+
+def count_bars(bars: DataFrame, asset_id: int | None = None, interval: str | None = None, start=None, end=None) -> DataFrame:
+    """How many bars meet the conditions that are given; both ends belong to the range."""
+    return scan(bars, None if asset_id is None else [asset_id], interval, start, end, lookback=0).agg(F.count(F.lit(1)).alias("n"))
+
+
 def time_range(bars: DataFrame) -> DataFrame:
     return bars.groupBy("asset_id", "interval_min").agg(F.min("time").alias("min_time"), F.max("time").alias("max_time"), F.count(F.lit(1)).alias("n"))
 

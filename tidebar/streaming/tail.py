@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,14 +19,18 @@ def event_bars(events: DataFrame, minutes: int, late: str = "1 hour") -> DataFra
 
 
 def recompute_tail(stored_bars: Callable[[], DataFrame], compute: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None], lookback: int) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: rows of the new bars, computed over their series' last ``lookback`` bars before them."""
+    """For foreachBatch: rows of the new bars and later ones, computed over their series' last ``lookback`` bars before them.
+
+    Window indicators equal a full run's where lookback is as long as their frame. Averages with an unlimited memory differ by what they have
+    forgotten after lookback bars, and OBV by a constant, as it counts from the first bar it sees.
+    """
 
     def run(batch: DataFrame, _: int) -> None:
-        first = batch.groupBy("asset_id", "interval_min").agg(F.min("time").alias("first"), (F.max("time") - F.min("time")).alias("span"))
+        first = batch.groupBy("asset_id", "interval_min").agg(F.min("time").alias("first"))
         rows = stored_bars().join(first, ["asset_id", "interval_min"])
-        before = rows.where("time < first").groupBy("asset_id", "interval_min").agg(F.sort_array(F.collect_list("time"), False).alias("t"))
-        start = before.select("asset_id", "interval_min", F.coalesce(F.get("t", F.lit(lookback - 1)), F.array_min("t")).alias("start"))
-        rows = rows.join(start, ["asset_id", "interval_min"], "left").where("start IS NULL OR time >= start")
-        write(compute(rows.drop("span", "start")).where("time >= first"))
+        age = Window.partitionBy("asset_id", "interval_min", F.col("time") < F.col("first")).orderBy(F.desc("time"))
+        rows = rows.withColumn("age", F.row_number().over(age)).where((F.col("time") >= F.col("first")) | (F.col("age") <= lookback))
+        found = compute(rows.drop("age", "first"))
+        write(found.join(first, ["asset_id", "interval_min"]).where("time >= first").drop("first"))
 
     return run
