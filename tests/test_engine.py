@@ -190,6 +190,21 @@ def test_bucket_join_picks_closed_bars(spark):
     assert out.count() == 1 and signal_tables.lookahead_violations(out).first()["violations_60"] == 0
 
 
+def test_divergences_by_hand(spark):
+    """Falling prices and a rising indicator, one window long, and one that is a bar too short."""
+    n = 40
+    close = np.concatenate([np.full(24, 50.0), 50 - np.arange(16) * 0.5])
+    volume = np.concatenate([np.full(24, 1.0), np.full(16, 1e-3)])
+    f = signal_tables.signal_table(signal_tables.indicators(make(spark, close, close + 0.3, close - 0.3, volume)), "lead").orderBy("time").toPandas()
+    rsi = frame(spark, close, close + 0.3, close - 0.3, volume).rsi_14
+    for i in range(n):
+        at = slice(i - 14, i + 1)
+        ok = i >= 14 and rsi[at].notna().all()
+        bull = ok and close[i] <= np.percentile(close[at], 20) and rsi[i] > rsi[i - 14 : i].min()
+        bear = ok and close[i] >= np.percentile(close[at], 80) and rsi[i] < rsi[i - 14 : i].max()
+        assert (f.rsi_divergence_bullish[i], f.rsi_divergence_bearish[i]) == (bull, bear), i
+
+
 def test_window_layers_share_one_shuffle(spark):
     plan = windowed.apply(B.bars_from_events(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # bars, series

@@ -68,10 +68,3 @@ def apply(df, layers=LAYERS):
     for layer in layers:
         df = df.select("*", *[F.expr(expand(sql)).alias(name) for name, sql in layer.items()])
     return df
-
-
-def to_sql(source: str, layers=LAYERS) -> str:
-    """The same as nested SELECTs over a relation."""
-    for layer in layers:
-        source = f"(SELECT *, {', '.join(f'{expand(sql)} AS {name}' for name, sql in layer.items())} FROM {source})"
-    return source

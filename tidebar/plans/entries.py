@@ -11,7 +11,7 @@ from .. import params
 from ..functions import signals, windowed
 from ..operators import profile, recursive
 from ..sources import bars as B
-from . import maintenance, oracle, signal_tables
+from . import maintenance, oracle, signal_oracle, signal_tables
 
 KEY = ["asset_id", "time"]
 MTF_COLUMNS = ["bb_signal", "close"]
@@ -72,8 +72,7 @@ def signals_of(kind: str) -> Callable:
 
 
 def signals_sql(kind: str) -> str:
-    names = [*signals.columns(kind), *signals.concordance(kind)]
-    return f"{oracle.with_base('60', True, True)} SELECT asset_id, time, time + INTERVAL 1 HOUR AS time_close, {', '.join(names)} FROM {signal_tables.signal_sql('every_column', kind)}"
+    return f"{oracle.with_base('60', True, True)} SELECT *, time + INTERVAL 1 HOUR AS time_close FROM {signal_oracle.signals_sql('every_column', kind)}"
 
 
 def band_signal(bars_: DataFrame) -> DataFrame:
@@ -86,7 +85,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.select(*KEY, "close", *[F.round(c, 6).alias(c) for c in ("sma_7", "bb_middle", "bb_upper", "bb_lower")], "bb_signal")
 
 
-FLAGSHIP_SQL = f"{oracle.with_base()} SELECT asset_id, time, close, {', '.join(f'round({c}, 6) AS {c}' for c in ('sma_7', 'bb_middle', 'bb_upper', 'bb_lower'))}, CAST({signals.graded()['coin']['bb_signal']} AS INT) AS bb_signal FROM base"
+FLAGSHIP_SQL = f"{oracle.with_base()} SELECT asset_id, time, close, {', '.join(f'round({c}, 6) AS {c}' for c in ('sma_7', 'bb_middle', 'bb_upper', 'bb_lower'))}, CAST({signal_oracle.band_sql()} AS INT) AS bb_signal FROM base"
 
 
 def _mtf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +98,7 @@ def mtf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mtf_sql() -> str:
-    side = lambda c, s: f"(SELECT asset_id, time AS time_{s}, time + INTERVAL {params.INTERVALS[c]} MINUTE AS time_close_{s}, CAST({signals.graded()['coin']['bb_signal']} AS INT) AS bb_signal_{s}, close AS close_{s} FROM {windowed.to_sql(f'({B.bars_sql(c)})')})"
+    side = lambda c, s: f"(SELECT asset_id, time AS time_{s}, time + INTERVAL {params.INTERVALS[c]} MINUTE AS time_close_{s}, CAST({signal_oracle.band_sql()} AS INT) AS bb_signal_{s}, close AS close_{s} FROM {signal_oracle.windows_sql(f'({B.bars_sql(c)})')})"
     sql = f"SELECT * FROM {side('1', '1')} x"
     for c, s in (("60", "60"), ("240", "240"), ("D", "d")):
         sql += f" JOIN {side(c, s)} y{s} ON x.asset_id = y{s}.asset_id AND time_close_{s} = time_bucket(INTERVAL '{params.INTERVALS[c]} minutes', time_close_1)"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..functions import windowed
 from ..params import DEMA, EMA, MACD, RSI, SUPERTREND
 from ..sources.bars import bars_sql
+from .signal_oracle import windows_sql
 
 
 def _smoothings() -> list[tuple[str, str, int, float]]:
@@ -85,7 +85,7 @@ profile AS (SELECT p.asset_id, p.rn, lo + (peak + 0.5) * size AS vpvr_poc, lo +
 
 def with_base(interval: str = "60", recursive: bool = False, profile: bool = False) -> str:
     """WITH clauses down to base, full_rows and every_column, as far as they are asked for."""
-    out = f"WITH RECURSIVE base AS (SELECT * FROM {windowed.to_sql(f'({bars_sql(interval)})')})"
+    out = f"WITH RECURSIVE base AS MATERIALIZED (SELECT * FROM {windows_sql(f'({bars_sql(interval)})')})"
     if recursive:
         out += ",\n" + recursive_sql()
     if profile:

@@ -37,13 +37,6 @@ def signal_table(frame: DataFrame, kind: str, thresholds: dict = params.THRESHOL
     return with_close_time(frame).select("asset_id", "interval_min", "time", "time_close", *layers[1], *layers[2], F.lit(SOURCE).alias("source_script"))
 
 
-def signal_sql(source: str, kind: str) -> str:
-    layers = [signals.derived(), signals.columns(kind), signals.concordance(kind)]
-    for layer in layers:
-        source = f"(SELECT *, {', '.join(f'{signals.dialect(sql, False)} AS {name}' for name, sql in layer.items())} FROM {source})"
-    return source
-
-
 def multi_timeframe(base: DataFrame, higher: dict[str, DataFrame], columns: list[str], start=None, end=None, once: bool = False) -> DataFrame:
     """Base rows (one-minute bars) with the last closed bar of every higher timeframe, without looking ahead.
 

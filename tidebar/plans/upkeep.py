@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions import signals
 from ..sources import bars as B
-from . import entries, maintenance, oracle, signal_tables
+from . import entries, maintenance, oracle, signal_oracle, signal_tables
 
 SCALES = ("1", "60", "240", "D")
 
@@ -198,7 +197,7 @@ SQL: dict[str, str] = {
     "latest_rows": f"SELECT asset_id, time_1, time_close_1, time_d || ' - ' || time_close_d AS bar_d, time_240 || ' - ' || time_close_240 AS bar_240, time_60 || ' - ' || time_close_60 AS bar_60 FROM {_MTF} WHERE asset_id = 1 ORDER BY time_1 DESC LIMIT 5",
     # 2, 5 and 1 graded signals and 3 columns of concordance, for four timeframes
     "signal_columns": "SELECT * FROM (VALUES ('mtf_signals_lead', 20::BIGINT), ('mtf_signals_coin', 32::BIGINT), ('mtf_signals_conf', 16::BIGINT)) t(table_name, new_columns)",
-    "upsert_signals": f"SELECT asset_id, time, time + INTERVAL 1 HOUR AS time_close, CASE WHEN hour(time) < 12 THEN 9 ELSE CAST({signals.graded()['coin']['bb_signal']} AS INT) END AS bb_signal, CASE WHEN hour(time) < 12 THEN 3 ELSE 1 END AS source FROM ({oracle.with_base()} SELECT * FROM base) WHERE hour(time) < 12 OR (asset_id + hour(time)) % 5 <> 0",
+    "upsert_signals": f"SELECT asset_id, time, time + INTERVAL 1 HOUR AS time_close, CASE WHEN hour(time) < 12 THEN 9 ELSE CAST({signal_oracle.band_sql()} AS INT) END AS bb_signal, CASE WHEN hour(time) < 12 THEN 3 ELSE 1 END AS source FROM ({oracle.with_base()} SELECT * FROM base) WHERE hour(time) < 12 OR (asset_id + hour(time)) % 5 <> 0",
     "upsert_mtf": f"SELECT asset_id, time_1, close_1, CASE WHEN minute(time_1) < 30 THEN 0.0 ELSE close_60 END AS close_60 FROM {_MTF}",
     "upsert_keys": f"SELECT asset_id, time FROM {_H}",
 }
