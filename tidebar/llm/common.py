@@ -38,19 +38,20 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again.
 
-    The result has no lineage, so a lost executor costs nothing but a read. After tables of some size
-    shuffle files that no plan needs any more are released.
+    The result has no lineage, so a lost executor costs nothing but a read. Where tables of some size were
+    written before, shuffle files that no plan needs any more are released first.
     """
     global _written
     spark = df.sparkSession
+    if _written > RELEASE_BYTES:
+        _written = 0
+        release(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidebar_path = path
-    _written += _file_system(spark, path)[1].getContentSummary(_file_system(spark, path)[0]).getLength()
-    if _written > RELEASE_BYTES:
-        _written = 0
-        release(spark)
+    where, files = _file_system(spark, path)
+    _written += files.getContentSummary(where).getLength()
     return out
 
 

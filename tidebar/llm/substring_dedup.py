@@ -10,7 +10,7 @@ in one place:
     document only can't lie in a repeat between documents; the others leave the candidate suffixes.
 2.  Prefixes of variable length deal the candidate suffixes out in groups of at most ``group`` suffixes. The seed,
     which lies in the first ``window`` words of each suffix, is the shortest one. Where more suffixes share it, they are
-    dealt by their first ``longer`` words, and where more share these, by all ``window`` words. 200,000 suffixes take
+    dealt by their first ``longer`` words, and where more share these, by all ``window`` words. A million suffixes take
     about 100 MB.
 3.  Subtrees. A group fits in memory. Its suffixes, as words, grow a tree from the group's prefix down, a few words a level:
     children are told apart by the words themselves, not by hashes, and only internal nodes with leaves of several
@@ -91,7 +91,7 @@ def deep_suffixes(words: np.ndarray, at: np.ndarray, group: np.ndarray, doc: np.
     return out
 
 
-def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, longer: int = 9, group: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 13, seed: int = 5, longer: int = 9, group: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, hash, ranges): for each document the windows that also start in a document with a smaller id, as (first, n).
 
     hash is that of the text, so that rows that share an id but not a text stay apart.
