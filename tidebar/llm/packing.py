@@ -111,14 +111,14 @@ class WordTokenizer:
         return out
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[tuple, WordTokenizer] = {}
 
 
-def word_tokenizer(file: str) -> WordTokenizer:
+def word_tokenizer(file: str, store: int) -> WordTokenizer:
     """This process's tokenizer; Python workers keep it, with the words it knows, from task to task."""
-    if file not in _tokenizers:
-        _tokenizers[file] = WordTokenizer(file)
-    return _tokenizers[file]
+    if (file, store) not in _tokenizers:
+        _tokenizers[file, store] = WordTokenizer(file, store, max(1 << 16, store // 8))
+    return _tokenizers[file, store]
 
 
 def best_cuts(ends: np.ndarray, cost: np.ndarray, limit: int, final: bool, hard: float) -> list[int]:
@@ -212,10 +212,11 @@ class Packer:
         self.size -= done
 
 
-def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "text", limit: int = 2048, grid: int = 64, sentence: float = 4.0, hard: float = 32.0, section: int = 1 << 16) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "text", limit: int = 2048, grid: int = 64, sentence: float = 4.0, hard: float = 32.0, section: int = 1 << 16, store: int = 64 << 20) -> DataFrame:
     """One row for each piece: the columns keep of its document, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    tokenizer: path of the tokenizer's file, the same on all machines. limit: a power of two.
+    tokenizer: path of the tokenizer's file, the same on all machines. limit: a power of two. store: bytes of a generation
+    of the word store; a worker holds two. A smaller one costs time, as words are encoded again, but changes no result.
 
     * A null or empty text is the one id 1, as every document ends with that id. Texts of any length are cut like others.
     * Special tokens' strings in a text have the ids that the tokenizer gives them.
@@ -232,7 +233,7 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[Column], text_col: str = "t
         out = out.add(name, "long", False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer)
+        words = word_tokenizer(tokenizer, store)
         packer = Packer(limit, grid, sentence, hard, section)
         first = TaskContext.get().partitionId() << 32
         got: list[tuple] = []
