@@ -35,8 +35,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens."""
-    return packing.pack(docs, packing.tokenizer_file(), [F.col("doc_id")])
+    """Pieces of documents in sequences of 2048 tokens. The word store is small, as workers share memory with the stages before."""
+    return packing.pack(docs, packing.tokenizer_file(), [F.col("doc_id")], store=16 << 20)
 
 
 STAGES = [
