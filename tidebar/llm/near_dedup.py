@@ -10,8 +10,9 @@ three ranks. The permutation of an element is affine modulo a prime, drawn by it
 Equal sets are one node from the start, so a group of copies costs one row. Nodes that share a band of
 the signature are candidates. They are never paired all with all: in each band bucket, nodes are
 compared with a pivot, the one that meets most others, and only buckets that still hold nodes of
-different components are looked at again, with further nodes as pivots, one, three, twelve, ... at a time.
-There, pairs that share elements which few nodes have are found by these; for the others the number
+different components are looked at again, with further nodes as pivots: about four, twelve, forty-eight, ... at
+a time. These are drawn by a hash below a threshold that depends on the bucket's size, so a bucket is never
+sorted in one task, and the join of its nodes with the pivots can be dealt anew if it is skewed. There, pairs that share elements which few nodes have are found by these; for the others the number
 of the rest and its parity bits (the bitmap filter of exact set joins) bound what they have in common, which
 rules out most pairs just below the threshold, exactly. Links are verified on the full sets.
 """
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import column, drop, mix, text_of, whole_row, word_hashes
@@ -33,6 +34,8 @@ from .components import components
 COMPONENTS, ROWS, BANDS = 149, 5, 29
 #: Words of 64 parity bits that sketch a set.
 PARITY = 8
+#: Pivots of a bucket are drawn by a hash, a whole number below this one.
+DRAWS = 1 << 30
 
 
 def shingles(raw: bytes, words: int) -> np.ndarray:
@@ -153,10 +156,10 @@ def _rare(sets: DataFrame, among: DataFrame, few: int) -> tuple[DataFrame, DataF
     return sizes, pairs, rare
 
 
-def _open(members: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """Members, with labels, of buckets of more than size nodes that hold nodes of different components."""
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their label and their bucket's size, of buckets that hold nodes of different components."""
     marked = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
-    split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where(f"x <> y and size > {size}").select("bucket")
+    split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("bucket", "size")
     return marked.join(split, "bucket")
 
 
@@ -204,7 +207,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     links = cut(_verified(tried, sets, percent), "links")
     labels = cut(components(links), "labels")
     # in what is left, pairs with rare elements in common are found by these; others can have no more in common than the rest
-    still = _open(members, labels, 1).select("nid", "label").distinct()
+    still = _open(members, labels).select("nid", "label").distinct()
     still = cut(still, "open")
     bounds, pairs, rare = _rare(sets, still.select("nid"), few)
     scratch += [bounds, rare]
@@ -216,26 +219,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     links = cut(links.unionByName(_verified(pairs, sets, percent)), "links")
     labels = cut(components(links), "labels")
-    members = cut(members.join(bounds.drop("size"), "nid").where(100 * F.col("m") >= percent * F.col("n")), "buckets")
+    drawn = F.pmod(F.xxhash64("bucket", "nid"), F.lit(DRAWS)).alias("draw")
+    members = members.join(bounds.drop("size"), "nid").where(100 * F.col("m") >= percent * F.col("n"))
+    members = cut(members.select("bucket", "nid", drawn, "n", "m", *(f"p{i}" for i in range(PARITY))), "buckets")
     # then buckets with nodes of different components, until they agree or all of their nodes have been pivots
-    low, high = 0, 1
+    low, high = 0, 4
     while True:
-        order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "nid")
-        ranked = cut(_open(members, labels, low + 1).withColumn("rank", F.row_number().over(order)), "ranked")
-        if ranked.isEmpty():
+        opened = cut(_open(members, labels).where(f"size > {low}"), "open")
+        if opened.isEmpty():
+            drop(opened)
             break
-        pivot = ranked.where((F.col("rank") > low) & (F.col("rank") <= high))
-        pivot = pivot.select("bucket", F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"), *(F.col(f"p{i}").alias(f"p{i}_b") for i in range(PARITY)))
+        drawn = F.col("draw") * F.col("size")
+        pivot = opened.where((drawn >= F.lit(low * DRAWS)) & (drawn < F.lit(high * DRAWS)))
+        pivot = pivot.select("bucket", F.col("nid").alias("b"), *(F.col(c).alias(f"{c}_b") for c in ("draw", "n", "m", "label", *(f"p{i}" for i in range(PARITY)))))
         most = _most("", "_b")
-        near = (F.col("rank") > F.col("rank_b")) & (F.col("label") != F.col("label_b")) & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
-        pairs = ranked.join(pivot, "bucket").where(near).select(F.col("nid").alias("a"), "b").distinct()
+        later = (F.col("draw") > F.col("draw_b")) | ((F.col("draw") == F.col("draw_b")) & (F.col("nid") > F.col("b")))
+        near = later & (F.col("label") != F.col("label_b")) & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+        pairs = opened.join(pivot, "bucket").where(near).select(F.col("nid").alias("a"), "b").distinct()
         pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = cut(_verified(pairs, sets, percent), "links")
         tried = tried.unionByName(pairs)
         if not more.isEmpty():
             links = cut(links.unionByName(more), "links")
             labels = cut(components(links), "labels")
-        drop(ranked)
+        drop(opened)
         low, high = high, 4 * high
     held = nodes.select("k1", "k2", "nid", "first_id").join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     smallest = held.groupBy("label").agg(F.min("first_id").alias("component_id"))
