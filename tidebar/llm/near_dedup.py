@@ -156,11 +156,12 @@ def _rare(sets: DataFrame, among: DataFrame, few: int) -> tuple[DataFrame, DataF
     return sizes, pairs, rare
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their label and their bucket's size, of buckets that hold nodes of different components."""
+def _open(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members, with their label and their bucket's size, of buckets that hold nodes of different components, and the table of these buckets."""
     marked = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     split = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("bucket", "size")
-    return marked.join(split, "bucket")
+    split = write(split, "split")  # a table: the nodes of a bucket needn't meet in one task to learn its size
+    return marked.join(split, "bucket"), split
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", few: int = 32) -> DataFrame:
@@ -189,7 +190,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     nodes = signed.where("n > 0").groupBy("k1", "k2").agg(F.min("row_id").alias("first_id"), F.min(F.struct("row_id", "row_hash")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = cut(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     listed = nodes.select("nid", "n", F.explode("bands").alias("bucket"))
-    sizes = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = cut(listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     members = cut(listed.join(sizes, "bucket"), "buckets")
     # a node that meets many others is likely to be the one that they are copies of: the best pivot
     degree = members.groupBy("nid").agg(F.sum("size").alias("degree"))
@@ -201,14 +202,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     members = ordered
 
     # first, every node against one pivot: the best of its buckets' heads
-    heads = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("nid")).alias("minus"))).alias("head"))
+    heads = cut(members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("nid")).alias("minus"))).alias("head")), "heads")
     best = members.join(heads, "bucket").groupBy("nid").agg((-F.max("head")["minus"]).alias("b"))
     tried = cut(best.where("nid <> b").select(F.col("nid").alias("a"), "b"), "pairs")
     links = cut(_verified(tried, sets, percent), "links")
     labels = cut(components(links), "labels")
     # in what is left, pairs with rare elements in common are found by these; others can have no more in common than the rest
-    still = _open(members, labels).select("nid", "label").distinct()
-    still = cut(still, "open")
+    still, split = _open(members, labels)
+    still = cut(still.select("nid", "label").distinct(), "open")
+    drop(split)
     bounds, pairs, rare = _rare(sets, still.select("nid"), few)
     scratch += [bounds, rare]
     known = bounds.join(still, "nid")
@@ -225,7 +227,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     # then buckets with nodes of different components, until they agree or all of their nodes have been pivots
     low, high = 0, 4
     while True:
-        opened = cut(_open(members, labels).where(f"size > {low}"), "open")
+        opened, split = _open(members, labels)
+        opened = cut(opened.where(f"size > {low}"), "open")
+        drop(split)
         if opened.isEmpty():
             drop(opened)
             break
