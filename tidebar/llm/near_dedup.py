@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         drop(opened)
         low, high = high, 4 * high
     held = nodes.select("k1", "k2", "nid", "first_id").join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
-    smallest = held.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    smallest = cut(held.groupBy("label").agg(F.min("first_id").alias("component_id")), "smallest")
     held = held.join(smallest, "label").select("k1", "k2", "component_id")
     out = signed.select("row_id", "row_hash", "n", "k1", "k2").join(held, ["k1", "k2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("row_id"))
