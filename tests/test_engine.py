@@ -208,3 +208,9 @@ def test_divergences_by_hand(spark):
 def test_window_layers_share_one_shuffle(spark):
     plan = windowed.apply(B.bars_from_events(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # bars, series
+
+
+def test_equal_obv_steps_are_not_parted_by_rounding(spark):
+    close = np.concatenate([np.arange(1.0, 101), np.arange(101.0, 1, -1)])  # 100 steps of 0.1 up, 99 down, the first 0
+    f = signal_tables.signal_table(signal_tables.indicators(make(spark, close, volume=np.full(200, 0.1))), "conf")
+    assert f.where("obv_trend_strength_bull = 1 OR obv_trend_strength_bear = 1").count() == 0
